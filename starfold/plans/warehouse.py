@@ -133,6 +133,8 @@ class BatchReport:
     runs: DataFrame              # ledger rows appended by this batch
     touched_months: list = field(default_factory=list)
     refreshed: bool = False
+    annotated: DataFrame | None = None   # staged typed drop (all rows, flags)
+    accepted: DataFrame | None = None    # staged loadable rows of good files
 
 
 class Warehouse:
@@ -229,7 +231,8 @@ class Warehouse:
         runs = materialize(runs.select(*SCHEMAS["pipeline_runs"].fieldNames()), "runs")
         self._append("pipeline_runs", runs)
 
-        report = BatchReport(verdicts=verdicts, new_facts=inserted, runs=runs)
+        report = BatchReport(verdicts=verdicts, new_facts=inserted, runs=runs,
+                             annotated=ann, accepted=good)
         any_success = verdicts.filter(F.col("status") == "success").limit(1).count() > 0
         if not any_success:
             return report
