@@ -145,6 +145,7 @@ class Warehouse:
         self.spark = spark
         self.root = root or fresh_path(spark, "warehouse")
         self.paths: dict[str, str] = {}
+        self.history: dict[str, list[str]] = {}  # earlier versions, kept on disk
 
     # -- storage ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
@@ -153,8 +154,14 @@ class Warehouse:
     def _replace(self, name: str, df: DataFrame) -> None:
         path = f"{self.root}/{name}/v-{fresh_path(self.spark, 'x').rsplit('-', 1)[-1]}"
         df.select(*SCHEMAS[name].fieldNames()).write.mode("error").parquet(path)
+        if name in self.paths:
+            self.history.setdefault(name, []).append(self.paths[name])
         self.paths[name] = path
 
+    def version(self, name: str, index: int) -> DataFrame:
+        """An earlier version of a replaced table (0 = first)."""
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self.history[name][index])
+
     def _append(self, name: str, df: DataFrame, partition: str | None = None) -> None:
         w = df.select(*SCHEMAS[name].fieldNames()).write.mode("append")
         if partition:
@@ -237,7 +244,9 @@ class Warehouse:
         if not any_success:
             return report
         report.refreshed = True
-        if refresh == "full":
+        if refresh == "none":  # the stored rollup stays stale until refreshed
+            report.refreshed = False
+        elif refresh == "full":
             self.refresh_full()
         else:
             old = self.spark.read.schema(SCHEMAS["dim_products"]).parquet(old_product_path)
