@@ -41,8 +41,11 @@ INT32_MIN, INT32_MAX = -(2 ** 31), 2 ** 31 - 1
 # A number as a CSV reader recognises it: decimal or exponent form, or infinity.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
-# Unicode white space plus the four separator controls str.strip() removes.
-EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Characters str.strip() removes: ASCII blanks, the four separator
+# controls, and the Unicode space characters.
+STRIP_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+               "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 # -------------------------------------------------------------------------
 
 
@@ -52,12 +55,21 @@ def na(c: Column) -> Column:
 
 
 def strip_text(c: Column) -> Column:
-    return F.regexp_replace(c, EDGE_BLANKS, "")
+    return F.trim(c, F.lit(STRIP_CHARS))
+
+
+NUMBER_CHARS = "0123456789.+-eE"
+INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def to_number(c: Column) -> Column:
-    """double, or NULL when the text is not a number."""
-    return F.when(c.rlike(NUMBER_PATTERN), strip_text(c).try_cast("double"))
+    """double, or NULL when the text is not a number (the same language as
+    ``NUMBER_PATTERN``).  Spark's cast also takes forms a CSV reader does not
+    (``1d``, ``1f``, hex), so the cast result is kept only for text made of
+    number characters, or for an infinity word; no regex per value."""
+    t = strip_text(c)
+    plain = F.translate(t, NUMBER_CHARS, "") == F.lit("")
+    return F.when(plain | F.lower(t).isin(*INFINITY_WORDS), t.try_cast("double"))
 
 
 def to_fixed(c: Column, precision: int, scale: int) -> tuple[Column, Column]:
@@ -95,66 +107,89 @@ def _first_error(checks: list[tuple[Column, str]]) -> Column:
 
 def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
              missing_text: str | None = MISSING_TEXT) -> DataFrame:
-    """Typed record + drop flags + error code, one output row per input row."""
-    s = {c: na(F.col(c)) for c in (
-        "order_id", "sale_date", "customer_name", "customer_email", "region",
-        "channel", "product_id", "product_name", "category", "quantity",
-        "unit_price", "discount_pct", "total_amount")}
+    """Typed record + drop flags + error code, one output row per input row.
+
+    Built as a few stacked projections so that every costly value (NA
+    mapping, number parse, date parse) is computed once per row and later
+    steps refer to it by name; Catalyst does not inline a non-trivial
+    expression into several consumers, so the stages stay separate and each
+    stays small enough for whole-stage codegen.
+    """
+    text_cols = ("order_id", "sale_date", "customer_name", "customer_email", "region",
+                 "channel", "product_id", "product_name", "category", "quantity",
+                 "unit_price", "discount_pct", "total_amount")
     fill = (lambda c: F.coalesce(c, F.lit(missing_text))) if missing_text is not None else (lambda c: c)
+    col = F.col
+
+    # 1. NA tokens -> NULL, once per column
+    st = raw.select(*[na(col(c)).alias(f"{c}_s") for c in text_cols], "source_file", "_arrival")
+
+    # 2. parses, once per column
+    numeric = ("quantity", "product_id", "unit_price", "discount_pct", "total_amount", "region", "channel")
+    st = st.select(
+        "*",
+        *[to_number(col(f"{c}_s")).alias(f"{c}_n") for c in numeric],
+        strip_text(col("unit_price_s")).try_cast("decimal(10,2)").alias("_price_dec"),
+        strip_text(col("discount_pct_s")).try_cast("decimal(5,2)").alias("_disc_dec"),
+        strip_text(col("total_amount_s")).try_cast("decimal(12,2)").alias("_total_dec"),
+        parse_date(col("sale_date_s"), date_format).alias("sale_date"),
+    )
 
-    qty_num = to_number(s["quantity"])
-    qty_long = F.coalesce(qty_num, F.lit(float(DEFAULT_QUANTITY))).try_cast("long")
-    qty_ok = qty_long.between(INT32_MIN, INT32_MAX)
-    pid_num = to_number(s["product_id"])
-    pid_long = pid_num.try_cast("long")
-    pid_ok = pid_long.between(INT32_MIN, INT32_MAX)
-    price, price_over = to_fixed(s["unit_price"], 10, 2)
-    disc, disc_over = to_fixed(s["discount_pct"], 5, 2)
-    claimed, _ = to_fixed(s["total_amount"], 12, 2)
-
-    typed = raw.select(
-        s["order_id"].alias("order_id"),
-        parse_date(s["sale_date"], date_format).alias("sale_date"),
-        fill(s["customer_name"]).alias("customer_name"),
-        fill(s["customer_email"]).alias("email"),
-        F.coalesce(strip_text(s["region"]), F.lit(UNKNOWN)).alias("region"),
-        F.coalesce(strip_text(s["channel"]), F.lit(UNKNOWN)).alias("channel"),
-        F.when(pid_ok, pid_long.cast("int")).alias("product_id"),
-        fill(s["product_name"]).alias("product_name"),
-        fill(s["category"]).alias("category"),
-        F.when(qty_ok, qty_long.cast("int")).alias("quantity"),
-        price.alias("unit_price"),
-        disc.alias("discount"),
-        F.when(s["total_amount"].isNotNull(), claimed).alias("claimed_total"),
+    # 3. typed values and row flags
+    qty_long = F.coalesce(col("quantity_n"), F.lit(float(DEFAULT_QUANTITY))).try_cast("long")
+    pid_long = col("product_id_n").try_cast("long")
+    zero = lambda p, sc: F.lit(0).cast(f"decimal({p},{sc})")
+    st = st.select(
+        col("order_id_s").alias("order_id"), "sale_date",
+        fill(col("customer_name_s")).alias("customer_name"),
+        fill(col("customer_email_s")).alias("email"),
+        F.coalesce(strip_text(col("region_s")), F.lit(UNKNOWN)).alias("region"),
+        F.coalesce(strip_text(col("channel_s")), F.lit(UNKNOWN)).alias("channel"),
+        pid_long.alias("_pid_long"),
+        fill(col("product_name_s")).alias("product_name"),
+        fill(col("category_s")).alias("category"),
+        qty_long.alias("_qty_long"),
+        F.when(col("unit_price_n").isNull(), zero(10, 2)).otherwise(col("_price_dec")).alias("unit_price"),
+        F.when(col("discount_pct_n").isNull(), zero(5, 2)).otherwise(col("_disc_dec")).alias("discount"),
+        F.when(col("total_amount_s").isNull(), F.lit(None).cast("decimal(12,2)"))
+         .when(col("total_amount_n").isNull(), zero(12, 2))
+         .otherwise(col("_total_dec")).alias("claimed_total"),
         "source_file", "_arrival",
-        # flags kept for the file verdict
-        (s["order_id"].isNotNull() & s["sale_date"].isNotNull()
-         & s["product_id"].isNotNull()).alias("_c4"),
-        is_infinite(qty_num).alias("_qty_inf"),
-        (~F.coalesce(qty_ok, F.lit(False))).alias("_qty_bad"),
-        (s["product_id"].isNotNull() & pid_num.isNull()).alias("_pid_text"),
-        (pid_num.isNotNull() & ~s["product_id"].rlike(INTEGER_PATTERN)).alias("_pid_fraction"),
-        (~F.coalesce(pid_ok, F.lit(False))).alias("_pid_bad"),
-        price_over.alias("_price_over"),
-        disc_over.alias("_disc_over"),
-        (s["region"].isNull() | to_number(s["region"]).isNotNull()).alias("_region_untyped"),
-        (s["channel"].isNull() | to_number(s["channel"]).isNotNull()).alias("_channel_untyped"),
+        (col("order_id_s").isNotNull() & col("sale_date_s").isNotNull()
+         & col("product_id_s").isNotNull()).alias("_c4"),
+        is_infinite(col("quantity_n")).alias("_qty_inf"),
+        (col("product_id_s").isNotNull() & col("product_id_n").isNull()).alias("_pid_text"),
+        (col("product_id_n").isNotNull()
+         & (F.translate(strip_text(col("product_id_s")), "0123456789+-", "") != F.lit(""))
+         ).alias("_pid_fraction"),
+        (col("unit_price_n").isNotNull() & col("_price_dec").isNull()).alias("_price_over"),
+        (col("discount_pct_n").isNotNull() & col("_disc_dec").isNull()).alias("_disc_over"),
+        (col("region_s").isNull() | col("region_n").isNotNull()).alias("_region_untyped"),
+        (col("channel_s").isNull() | col("channel_n").isNotNull()).alias("_channel_untyped"),
     )
-    typed = typed.withColumn(
-        "total_amount", total_amount(F.col("quantity"), F.col("unit_price"), F.col("discount")))
-    typed = typed.withColumn("_c5", F.col("_c4") & F.col("sale_date").isNotNull())
-
+    in_int = lambda c: F.coalesce(c.between(INT32_MIN, INT32_MAX), F.lit(False))
+    st = st.select(
+        "*",
+        F.when(in_int(col("_pid_long")), col("_pid_long").cast("int")).alias("product_id"),
+        F.when(in_int(col("_qty_long")), col("_qty_long").cast("int")).alias("quantity"),
+        (~in_int(col("_qty_long"))).alias("_qty_bad"),
+        (~in_int(col("_pid_long"))).alias("_pid_bad"),
+        (col("_c4") & col("sale_date").isNotNull()).alias("_c5"),
+    ).drop("_pid_long", "_qty_long")
+
+    # 4. the computed total, then the first load error
+    st = st.withColumn("total_amount", total_amount(col("quantity"), col("unit_price"), col("discount")))
     load_checks = [
-        (F.col("_pid_text"), "product_id is not a number"),
-        (F.col("_pid_bad"), "product_id out of integer range"),
-        (F.col("_qty_bad"), "quantity out of integer range"),
-        (F.col("_price_over"), "unit_price overflows numeric(10,2)"),
-        (F.col("_disc_over"), "discount overflows numeric(5,2)"),
-        (F.col("total_amount").isNull(), "total_amount overflows numeric(12,2)"),
-    ] + [(F.length(F.col(c)) > n, f"{c} longer than {n}") for c, n in TEXT_LIMITS]
-    err = (F.when(F.col("_c4") & F.col("_qty_inf"), F.lit("quantity is not finite"))
-           .when(F.col("_c5"), _first_error(load_checks)))
-    return typed.withColumn("_err", err)
+        (col("_pid_text"), "product_id is not a number"),
+        (col("_pid_bad"), "product_id out of integer range"),
+        (col("_qty_bad"), "quantity out of integer range"),
+        (col("_price_over"), "unit_price overflows numeric(10,2)"),
+        (col("_disc_over"), "discount overflows numeric(5,2)"),
+        (col("total_amount").isNull(), "total_amount overflows numeric(12,2)"),
+    ] + [(F.length(col(c)) > n, f"{c} longer than {n}") for c, n in TEXT_LIMITS]
+    err = (F.when(col("_c4") & col("_qty_inf"), F.lit("quantity is not finite"))
+           .when(col("_c5"), _first_error(load_checks)))
+    return st.withColumn("_err", err)
 
 
 CLEAN_COLUMNS = (

@@ -1,15 +1,17 @@
 """Dense surrogate keys without a global single-partition window.
 
 New rows get ``base + 1 .. base + n``.  Rows are tagged with their partition
-id and in-partition position (``monotonically_increasing_id`` encodes both),
-the tagged rows are written once to the shared folder so that the counting
-pass and the numbering pass see the same rows in the same partitions (this
-also survives executor loss), and only the per-partition counts - one row per
-partition - reach the driver to turn into offsets.
+id and in-partition position (``monotonically_increasing_id`` encodes both)
+and the tagged rows are persisted, so the counting pass and the numbering
+pass read the same partitions.  Only the per-partition counts - one row per
+partition - reach the driver to turn into offsets.  If an executor is lost,
+a recomputed partition holds the same rows (perhaps in another order), so
+its ids stay inside its own offset range: still unique and dense.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +35,29 @@ def max_id(df: DataFrame, id_col: str) -> int:
     return int(v or 0)
 
 
-def assign_ids(df: DataFrame, id_col: str, base: int, order: str | None = None) -> DataFrame:
+def assign_ids(df: DataFrame, id_col: str, base: int, order: str | None = None,
+               cached: list | None = None, cut_lineage: bool = False) -> DataFrame:
     """Append ``id_col`` = base + dense 1..n.  With ``order``, ids follow that
-    column (range-partitioned sort, so no single-task global order)."""
+    column (range-partitioned sort, so no single-task global order).  The
+    persisted tagged rows are appended to ``cached`` for the caller to
+    release once the result has been written.
+
+    ``cut_lineage`` checkpoints the tagged rows to the shared checkpoint
+    folder instead of persisting them.  Use it when ``df`` reads the table
+    the result will be written to: Spark re-caches plans that read a path
+    after writing to it, and a recomputed anti join would see the new rows.
+    """
     spark = df.sparkSession
     if order is not None:
         df = df.repartitionByRange(order).sortWithinPartitions(order)
-    tagged = materialize(
-        df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()),
-        f"ids-{id_col}")
+    tagged = (df.withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    if cut_lineage:
+        tagged = tagged.checkpoint(eager=True)
+    else:
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:
+            cached.append(tagged)
     counts = sorted((r["_pid"], r["n"]) for r in
                     tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = [], 0

@@ -17,6 +17,7 @@ import os
 import threading
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_runtime_conf
@@ -31,7 +32,10 @@ class Run:
 
     @cached_property
     def drop(self) -> DataFrame:
-        return derive_drop(self.spark, self.sf_dir)
+        """The derived drop, kept (memory, spilling to disk) because the
+        one-run load, both halves of the two-run load and the CSV writers
+        all read it; a lost partition is re-derived from the tables."""
+        return derive_drop(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def one(self) -> tuple[Warehouse, BatchReport]:

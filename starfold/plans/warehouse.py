@@ -16,13 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from ..functions.cleaning import CLEAN_COLUMNS, annotate
-from ..operators.surrogate import assign_ids, materialize, max_id
+from ..operators.surrogate import assign_ids, max_id
 from ..operators.upsert import insert_ignore, upsert
 from ..operators.verdict import accepted_rows, file_verdicts
 from ..session import fresh_path
 
 DAG_ID = "sales_pipeline"
+# per-row flags the file verdict needs besides the clean columns
+FLAG_COLUMNS = ("_c4", "_c5", "_err", "_qty_inf", "_region_untyped", "_channel_untyped",
+                "_pid_text", "_pid_fraction")
 
 SCHEMAS = {
     "dim_products": T.StructType([
@@ -146,6 +151,7 @@ class Warehouse:
         self.root = root or fresh_path(spark, "warehouse")
         self.paths: dict[str, str] = {}
         self.history: dict[str, list[str]] = {}  # earlier versions, kept on disk
+        self.sequences: dict[str, int] = {}       # last id handed out per table
 
     # -- storage ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
@@ -183,6 +189,12 @@ class Warehouse:
         return wh
 
     # -- the batch -------------------------------------------------------
+    def next_id_base(self, table: str, id_col: str) -> int:
+        """Largest id handed out so far (a sequence); scanned only once."""
+        if table not in self.sequences:
+            self.sequences[table] = max_id(self.table(table), id_col)
+        return self.sequences[table]
+
     def load(self, raw: DataFrame, refresh: str = "incremental",
              valid_files: DataFrame | None = None) -> BatchReport:
         """Clean, judge files, upsert dims, insert-ignore facts, log, refresh.
@@ -190,24 +202,26 @@ class Warehouse:
         ``raw``: a drop (13 string columns, source_file, _arrival).
         ``valid_files``: files that passed structural validation; default
         is every file present in ``raw``.
+        ``refresh``: "incremental" (touched months), "full", or "none".
         """
-        spark = self.spark
         now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+        cached: list[DataFrame] = []
         ann = annotate(raw)
         if valid_files is not None:
             ann = ann.join(valid_files.select("source_file"), "source_file", "left_semi")
-        # one pass over the drop: the typed rows are staged and both the file
-        # verdicts and the accepted rows are read from the staged copy
-        ann = materialize(ann, "annotated")
-        verdicts = materialize(file_verdicts(ann), "verdicts")
-        # the cleaned rows of accepted files feed three writes: stage them once
-        good = materialize(accepted_rows(ann, verdicts).select(*CLEAN_COLUMNS), "accepted")
+        # One pass over the drop: the typed batch is persisted and both the
+        # file verdicts and the accepted rows (which feed three writes) are
+        # read from it.  A lost partition is recomputed from the drop.
+        ann = ann.select(*CLEAN_COLUMNS, *FLAG_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        verdicts = file_verdicts(ann).persist(StorageLevel.MEMORY_AND_DISK)
+        good = accepted_rows(ann, verdicts).select(*CLEAN_COLUMNS)
 
         old_products = self.table("dim_products")
         customers = upsert(self.table("dim_customers"),
                            good.select("email", "customer_name", "region", "_arrival"),
                            keys=["email"], update_cols=["customer_name", "region"],
-                           id_col="customer_id", now=now)
+                           id_col="customer_id", now=now,
+                           id_base=self.next_id_base("dim_customers", "customer_id"), cached=cached)
         products = upsert(old_products,
                           good.select("product_id", "product_name", "category", "unit_price", "_arrival"),
                           keys=["product_id"], update_cols=["product_name", "category", "unit_price"],
@@ -216,41 +230,52 @@ class Warehouse:
         self._replace("dim_customers", customers)
         self._replace("dim_products", products)
         customers = self.table("dim_customers")
+        self.sequences["dim_customers"] = max_id(customers, "customer_id")
 
         fact_now = self.table("fact_sales")
+        base = self.next_id_base("fact_sales", "sale_id")
         inserted = insert_ignore(fact_now.select("order_id"), good, ["order_id"])
         inserted = (inserted.join(customers.select("email", "customer_id"), "email", "left")
                     .withColumn("processed_at", now)
                     .withColumn("sale_month", F.trunc("sale_date", "month")))
-        inserted = assign_ids(inserted, "sale_id", max_id(fact_now, "sale_id"))
+        inserted = assign_ids(inserted, "sale_id", base, cut_lineage=True)
         inserted = inserted.select(*SCHEMAS["fact_sales"].fieldNames())
         # Rebalance by month: few files per month, and AQE splits a hot month.
         self._append("fact_sales", inserted.hint("rebalance", "sale_month"), partition="sale_month")
 
         loaded = inserted.groupBy("source_file").agg(F.count(F.lit(1)).cast("int").alias("rows_loaded"))
+        loaded = loaded.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(loaded)
+        n_new = loaded.agg(F.sum("rows_loaded")).first()[0] or 0
+        self.sequences["fact_sales"] = base + n_new
         runs = (verdicts.join(loaded, "source_file", "left")
                 .select(F.lit(DAG_ID).alias("dag_id"), now.alias("run_date"), "source_file",
                         F.when(F.col("status") == "success", F.coalesce("rows_loaded", F.lit(0)))
                         .otherwise(F.lit(0)).alias("rows_loaded"),
                         "status", F.col("error").alias("error_message"),
                         F.col("source_file").alias("_order")))
-        runs = assign_ids(runs, "run_id", max_id(self.table("pipeline_runs"), "run_id"), order="_order")
-        runs = materialize(runs.select(*SCHEMAS["pipeline_runs"].fieldNames()), "runs")
+        run_base = self.next_id_base("pipeline_runs", "run_id")
+        runs = assign_ids(runs, "run_id", run_base, order="_order", cached=cached)
         self._append("pipeline_runs", runs)
+        self.sequences["pipeline_runs"] = run_base + verdicts.count()
+        runs = self.table("pipeline_runs").filter(F.col("run_id") > run_base)
+        # this batch's facts, read back from the table (sale ids are dense)
+        new_facts = self.table("fact_sales").filter(
+            (F.col("sale_id") > base) & (F.col("sale_id") <= base + n_new))
 
-        report = BatchReport(verdicts=verdicts, new_facts=inserted, runs=runs,
+        report = BatchReport(verdicts=verdicts, new_facts=new_facts, runs=runs,
                              annotated=ann, accepted=good)
+        # refresh only when at least one file loaded; "none" leaves it stale
         any_success = verdicts.filter(F.col("status") == "success").limit(1).count() > 0
-        if not any_success:
-            return report
-        report.refreshed = True
-        if refresh == "none":  # the stored rollup stays stale until refreshed
-            report.refreshed = False
-        elif refresh == "full":
-            self.refresh_full()
-        else:
-            old = self.spark.read.schema(SCHEMAS["dim_products"]).parquet(old_product_path)
-            report.touched_months = self.refresh_incremental(inserted, old)
+        if any_success and refresh != "none":
+            report.refreshed = True
+            if refresh == "full":
+                self.refresh_full()
+            else:
+                old = self.spark.read.schema(SCHEMAS["dim_products"]).parquet(old_product_path)
+                report.touched_months = self.refresh_incremental(new_facts, old)
+        for df in cached:
+            df.unpersist()
         return report
 
     # -- rollup ----------------------------------------------------------
