@@ -39,5 +39,7 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
     report = wh.load(todo, refresh=refresh)
     if archive_root:
         (ledger.archive_rows(todo, report.verdicts)
-         .write.mode("append").partitionBy("archive_key").option("header", True).csv(archive_root))
+         .write.mode("append").partitionBy("archive_key").option("header", True)
+         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(archive_root))
     return CsvBatch(checks=checks, report=report)

@@ -29,7 +29,10 @@ from .sales_drop import REQUIRED_COLUMNS
 
 MAX_FIELDS = 64  # widest record the scan parses; wider records are ragged anyway
 _FIELDS_DDL = ", ".join(f"f{i} STRING" for i in range(MAX_FIELDS))
-_CSV_OPTS = {"escape": '"', "quote": '"'}
+# quotes doubled inside quoted fields; values kept byte for byte (Spark's
+# writer would otherwise trim leading and trailing blanks)
+_CSV_OPTS = {"escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
 
 
 def _uri_path(root: str) -> str:
@@ -130,6 +133,7 @@ def _write_lines(lines: DataFrame, header: str, path: str) -> None:
     (lines.select(F.col("line").alias(header), "part").hint("rebalance", "part")
      .write.mode("append").partitionBy("part").option("header", True)
      .option("sep", "\u0001").option("quote", "\u0000").option("escapeQuotes", False)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
