@@ -32,7 +32,9 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
     drop, checks = read_drop(spark, root)
     valid = checks.filter(F.col("status") == "valid").select("source_file")
     if use_ledger:
-        valid = valid.join(ledger.successful_files(wh), "source_file", "left_anti")
+        # The new-file list reads the ledger this batch appends to; cut its
+        # lineage (one row per file) so the batch cannot change under the load.
+        valid = valid.join(ledger.successful_files(wh), "source_file", "left_anti").checkpoint(eager=True)
     if valid.limit(1).count() == 0:
         return CsvBatch(checks=checks, report=None)
     todo = drop.join(valid, "source_file", "left_semi")

@@ -203,6 +203,10 @@ class Warehouse:
         ``valid_files``: files that passed structural validation; default
         is every file present in ``raw``.
         ``refresh``: "incremental" (touched months), "full", or "none".
+
+        The drop must not read this warehouse's tables (cut its lineage
+        first, as ``run_csv_batch`` does): Spark re-caches plans reading a
+        path after writing to it, which would change the batch mid-load.
         """
         now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
         cached: list[DataFrame] = []
@@ -213,7 +217,7 @@ class Warehouse:
         # file verdicts and the accepted rows (which feed three writes) are
         # read from it.  A lost partition is recomputed from the drop.
         ann = ann.select(*CLEAN_COLUMNS, *FLAG_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-        verdicts = file_verdicts(ann).persist(StorageLevel.MEMORY_AND_DISK)
+        verdicts = file_verdicts(ann).checkpoint(eager=True)  # one row per file
         good = accepted_rows(ann, verdicts).select(*CLEAN_COLUMNS)
 
         old_products = self.table("dim_products")
