@@ -10,7 +10,8 @@ Both reduce the incoming batch to one row per key with a partial aggregate
 sides: no skew can remain after the reduction.  The existing table is joined
 with a left outer join (its untouched rows stream through; the reduced batch
 is the build side, broadcast by AQE when it proves small) and new keys are
-found with a left anti join on the key column only.
+found by semi-joining the table's key column with the reduced batch (the
+batch is the build side) and anti-joining the batch with that small result.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
             .select(*keys, *carried,
                     *[F.when(F.col("_hit"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
                       for c in update_cols]))
-    fresh = latest.join(current.select(*keys), keys, "left_anti")
+    fresh = latest.join(_present(current, latest, keys), keys, "left_anti")
     if created_col:
         fresh = fresh.withColumn(created_col, now)
     if id_col:
@@ -58,4 +59,15 @@ def insert_ignore(current_keys: DataFrame, incoming: DataFrame, keys: Sequence[s
     and only keys absent from ``current_keys``."""
     keys = list(keys)
     firsts = first_wins(incoming, keys, order)
-    return firsts.join(current_keys.select(*keys), keys, "left_anti")
+    return firsts.join(_present(current_keys, firsts, keys), keys, "left_anti")
+
+
+def _present(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``batch`` that already exist in ``current``.
+
+    The big table is the streamed side of a semi join whose build side is
+    the (deduplicated, usually small) batch, so AQE can broadcast the batch
+    and the table's key column is scanned without being shuffled; the batch
+    is then anti-joined against this small result.  A direct
+    ``batch LEFT ANTI current`` could only build on the big side."""
+    return current.select(*keys).join(batch.select(*keys), keys, "left_semi")
