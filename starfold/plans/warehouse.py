@@ -239,7 +239,13 @@ class Warehouse:
         fact_now = self.table("fact_sales")
         base = self.next_id_base("fact_sales", "sale_id")
         inserted = insert_ignore(fact_now.select("order_id"), good, ["order_id"])
-        inserted = (inserted.join(customers.select("email", "customer_id"), "email", "left")
+        # Resolve customer ids through the batch's own e-mails only (one row
+        # per e-mail, small enough for AQE to broadcast), so a hot e-mail on
+        # the fact side never meets a shuffled dimension; AQE's skew-join
+        # split covers the case where even this mapping is large.
+        batch_ids = customers.select("email", "customer_id").join(
+            good.select("email").distinct(), "email", "left_semi")
+        inserted = (inserted.join(batch_ids, "email", "left")
                     .withColumn("processed_at", now)
                     .withColumn("sale_month", F.trunc("sale_date", "month")))
         inserted = assign_ids(inserted, "sale_id", base, cut_lineage=True)
