@@ -3,8 +3,10 @@
 ``min_by``/``max_by`` are declarative aggregates, so Spark runs them as a
 partial (map-side) aggregate before the shuffle: a key that holds a third of
 all rows collapses to one row per input partition before it is exchanged.
-A ``row_number()`` window would instead sort and hold every row of the hot
-key in one task.
+With a struct payload the aggregate is sort-based (a struct buffer does not
+fit the hash aggregate's fixed-width buffer), which spills gracefully.
+A ``row_number()`` window would instead exchange every row and hold every
+row of the hot key in one task.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.csv_drop import read_drop
+from ..sources.csv_drop import scan_drop
 from . import ledger
 from .warehouse import BatchReport, Warehouse
 
@@ -29,13 +29,15 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
     archive dataset partitioned by archive key (``raw/`` -> ``archive/``).
     """
     spark = wh.spark
-    drop, checks = read_drop(spark, root)
+    lines, drop, checks = scan_drop(spark, root)
     valid = checks.filter(F.col("status") == "valid").select("source_file")
     if use_ledger:
         # The new-file list reads the ledger this batch appends to; cut its
         # lineage (one row per file) so the batch cannot change under the load.
         valid = valid.join(ledger.successful_files(wh), "source_file", "left_anti").checkpoint(eager=True)
     if valid.limit(1).count() == 0:
+        checks = checks.checkpoint(eager=True)
+        lines.unpersist()
         return CsvBatch(checks=checks, report=None)
     todo = drop.join(valid, "source_file", "left_semi")
     report = wh.load(todo, refresh=refresh)
@@ -44,4 +46,6 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
          .write.mode("append").partitionBy("archive_key").option("header", True)
          .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(archive_root))
+    checks = checks.checkpoint(eager=True)  # one row per file; keep it, drop the lines
+    lines.unpersist()
     return CsvBatch(checks=checks, report=report)

@@ -22,13 +22,12 @@ from __future__ import annotations
 import os
 import re
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .sales_drop import REQUIRED_COLUMNS
 
-MAX_FIELDS = 64  # widest record the scan parses; wider records are ragged anyway
-_FIELDS_DDL = ", ".join(f"f{i} STRING" for i in range(MAX_FIELDS))
 # quotes doubled inside quoted fields; values kept byte for byte (Spark's
 # writer would otherwise trim leading and trailing blanks)
 _CSV_OPTS = {"escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
@@ -43,9 +42,27 @@ def _uri_path(root: str) -> str:
     return os.path.abspath(root).rstrip("/")
 
 
-def _fields(col: str):
-    parsed = F.from_csv(F.col(col), _FIELDS_DDL, _CSV_OPTS)
-    return F.array(*[parsed[f"f{i}"] for i in range(MAX_FIELDS)])
+def with_fields(df: DataFrame, col: str, width: int, out: str = "_f") -> DataFrame:
+    """Add ``out``: the CSV line in ``col`` as an array of ``width`` string
+    fields (NULL past its end).  The line is parsed once into a struct
+    column; the array then only reads that struct's fields."""
+    ddl = ", ".join(f"f{i} STRING" for i in range(width))
+    parsed = df.withColumn("_parsed", F.from_csv(F.col(col), ddl, _CSV_OPTS))
+    return parsed.withColumn(out, F.array(*[F.col(f"_parsed.f{i}") for i in range(width)])).drop("_parsed")
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("source_file").agg(
+        F.min_by("value", "_pos").alias("header"), F.min("_pos").alias("_first"),
+        F.count(F.lit(1)).alias("_lines"))
+
+
+def parse_width(headers: DataFrame) -> int:
+    """Fields to parse per line: one more than the widest header (its comma
+    count bounds its field count), so a surplus field is always seen.  One
+    number from a one-row-per-file table; no fixed cap."""
+    widest = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0]
+    return int(widest or 0) + 1
 
 
 def scan_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -60,24 +77,22 @@ def scan_lines(spark: SparkSession, root: str) -> DataFrame:
     return lines.withColumn("source_file", rel).withColumn("_pos", F.struct("_block", "_row"))
 
 
-def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
+def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None = None) -> DataFrame:
     """One row per file: header, records, missing columns, ragged, verdict."""
-    per_file = lines.groupBy("source_file").agg(
-        F.min_by("value", "_pos").alias("header"), F.min("_pos").alias("_first"),
-        F.count(F.lit(1)).alias("_lines"))
-    header_cols = F.filter(_fields("header"), lambda x: x.isNotNull())
+    per_file = _headers(lines)
+    width = width or parse_width(per_file)
+    header_cols = F.filter(F.col("_h"), lambda x: x.isNotNull())
     req = F.array(*[F.lit(c) for c in required])
-    checks = per_file.select(
+    checks = with_fields(per_file, "header", width, "_h").select(
         "source_file", "header", "_first",
         header_cols.alias("columns"),
         (F.col("_lines") - 1).alias("n_records"),
         F.array_sort(F.array_except(req, header_cols)).alias("missing_columns"))
     # records wider than their header (a surplus non-empty field)
     recs = lines.join(checks.select("source_file", "_first", F.size("columns").alias("_width")), "source_file")
-    ragged = (recs.filter(F.col("_pos") != F.col("_first"))
-              .withColumn("_f", _fields("value"))
+    ragged = (with_fields(recs.filter(F.col("_pos") != F.col("_first")), "value", width)
               .groupBy("source_file")
-              .agg(F.bool_or(F.exists(F.slice("_f", F.col("_width") + 1, MAX_FIELDS),
+              .agg(F.bool_or(F.exists(F.slice("_f", F.col("_width") + 1, width),
                                       lambda x: x.isNotNull())).alias("ragged")))
     out = checks.join(ragged, "source_file", "left").fillna(False, subset=["ragged"])
     reason = (F.when(F.size("missing_columns") > 0,
@@ -89,7 +104,7 @@ def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
                       reason.alias("reason"))
 
 
-def records(lines: DataFrame, checks: DataFrame, required=REQUIRED_COLUMNS,
+def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_COLUMNS,
             only_valid: bool = True) -> DataFrame:
     """The drop: required columns picked by header name, plus lineage."""
     hdr = checks
@@ -97,17 +112,27 @@ def records(lines: DataFrame, checks: DataFrame, required=REQUIRED_COLUMNS,
         hdr = hdr.filter(F.col("status") == "valid")
     # one row per file: AQE broadcasts it unless the file count is huge
     rows = lines.join(hdr.select("source_file", "_first", "columns"), "source_file")
-    rows = rows.filter(F.col("_pos") != F.col("_first")).withColumn("_f", _fields("value"))
+    rows = with_fields(rows.filter(F.col("_pos") != F.col("_first")), "value", width)
     picked = [F.get(F.col("_f"), F.array_position("columns", c).cast("int") - 1).alias(c) for c in required]
     return rows.select(*picked, "source_file",
                        F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"))
 
 
+def scan_drop(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(lines, drop of valid files, per-file checks) for the CSV files under
+    root.  The scanned lines are persisted: the header table, the checks and
+    the records all read them, and the row ids that order records are fixed
+    once; ``lines.unpersist()`` releases them after the load."""
+    lines = scan_lines(spark, root).persist(StorageLevel.MEMORY_AND_DISK)
+    width = parse_width(_headers(lines))
+    checks = file_checks(lines, width=width)
+    return lines, records(lines, checks, width), checks
+
+
 def read_drop(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(drop of valid files, per-file checks) for the CSV files under root."""
-    lines = scan_lines(spark, root)
-    checks = file_checks(lines)
-    return records(lines, checks), checks
+    _, drop, checks = scan_drop(spark, root)
+    return drop, checks
 
 
 # ---- writing drops -----------------------------------------------------------
