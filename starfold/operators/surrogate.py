@@ -16,19 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_path
 
 _LOW_BITS = (1 << 33) - 1
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to a fresh folder under the shared checkpoint dir and read back
-    (cuts lineage; a lost executor re-reads instead of recomputing)."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def max_id(df: DataFrame, id_col: str) -> int:
     """Largest existing id (a one-row aggregate), 0 for an empty table."""
     v = df.agg(F.max(id_col)).first()[0]

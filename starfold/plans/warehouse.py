@@ -10,6 +10,7 @@ month, the rollup is replaced whole (full refresh) or month by month
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,7 +159,7 @@ class Warehouse:
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.paths[name])
 
     def _replace(self, name: str, df: DataFrame) -> None:
-        path = f"{self.root}/{name}/v-{fresh_path(self.spark, 'x').rsplit('-', 1)[-1]}"
+        path = f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
         df.select(*SCHEMAS[name].fieldNames()).write.mode("error").parquet(path)
         if name in self.paths:
             self.history.setdefault(name, []).append(self.paths[name])
@@ -317,10 +318,3 @@ class Warehouse:
         kept = self.table("mv_monthly_sales").filter(~F.col("month").isin(lit_months))
         self._replace("mv_monthly_sales", kept.unionByName(fresh))
         return months
-
-
-def load_whole(spark: SparkSession, raw: DataFrame, refresh: str = "full") -> Warehouse:
-    """Seeded warehouse after loading one drop in one run."""
-    wh = Warehouse.create(spark)
-    wh.load(raw, refresh=refresh)
-    return wh
