@@ -27,11 +27,13 @@ def max_id(df: DataFrame, id_col: str) -> int:
 
 
 def assign_ids(df: DataFrame, id_col: str, base: int, order: str | None = None,
-               cached: list | None = None, cut_lineage: bool = False) -> DataFrame:
+               cached: list | None = None, cut_lineage: bool = False,
+               counted: list | None = None) -> DataFrame:
     """Append ``id_col`` = base + dense 1..n.  With ``order``, ids follow that
     column (range-partitioned sort, so no single-task global order).  The
     persisted tagged rows are appended to ``cached`` for the caller to
-    release once the result has been written.
+    release once the result has been written; the number of new ids is
+    appended to ``counted``.
 
     ``cut_lineage`` checkpoints the tagged rows to the shared checkpoint
     folder instead of persisting them.  Use it when ``df`` reads the table
@@ -55,6 +57,8 @@ def assign_ids(df: DataFrame, id_col: str, base: int, order: str | None = None,
     for pid, n in counts:
         offsets.append((pid, acc))
         acc += n
+    if counted is not None:
+        counted.append(acc)
     schema = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField("_off", T.LongType())])
     # One row per partition: a proven bound, so the broadcast is safe.
     off = F.broadcast(spark.createDataFrame(offsets, schema))

@@ -29,7 +29,8 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], order: str = "_arrival",
            id_col: str | None = None, created_col: str | None = "created_at",
            now: Column | None = None, id_order: str | None = None,
-           id_base: int | None = None, cached: list | None = None) -> DataFrame:
+           id_base: int | None = None, cached: list | None = None,
+           counted: list | None = None) -> DataFrame:
     """``id_order="_first_seen"`` numbers new keys by first arrival (one
     extra range-partitioning pass); ids are otherwise dense but unordered."""
     keys, update_cols = list(keys), list(update_cols)
@@ -48,7 +49,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
         fresh = fresh.withColumn(created_col, now)
     if id_col:
         base = max_id(current, id_col) if id_base is None else id_base
-        fresh = assign_ids(fresh, id_col, base, order=id_order, cached=cached)
+        fresh = assign_ids(fresh, id_col, base, order=id_order, cached=cached, counted=counted)
     fresh = fresh.select(*[F.col(c) for c in current.columns])
     return kept.select(*current.columns).unionByName(fresh)
 

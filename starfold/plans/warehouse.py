@@ -222,11 +222,11 @@ class Warehouse:
         good = accepted_rows(ann, verdicts).select(*CLEAN_COLUMNS)
 
         old_products = self.table("dim_products")
+        cust_base, new_customers = self.next_id_base("dim_customers", "customer_id"), []
         customers = upsert(self.table("dim_customers"),
                            good.select("email", "customer_name", "region", "_arrival"),
                            keys=["email"], update_cols=["customer_name", "region"],
-                           id_col="customer_id", now=now,
-                           id_base=self.next_id_base("dim_customers", "customer_id"), cached=cached)
+                           id_col="customer_id", now=now, id_base=cust_base, cached=cached, counted=new_customers)
         products = upsert(old_products,
                           good.select("product_id", "product_name", "category", "unit_price", "_arrival"),
                           keys=["product_id"], update_cols=["product_name", "category", "unit_price"],
@@ -235,7 +235,7 @@ class Warehouse:
         self._replace("dim_customers", customers)
         self._replace("dim_products", products)
         customers = self.table("dim_customers")
-        self.sequences["dim_customers"] = max_id(customers, "customer_id")
+        self.sequences["dim_customers"] = cust_base + sum(new_customers)
 
         fact_now = self.table("fact_sales")
         base = self.next_id_base("fact_sales", "sale_id")
@@ -249,15 +249,14 @@ class Warehouse:
         inserted = (inserted.join(batch_ids, "email", "left")
                     .withColumn("processed_at", now)
                     .withColumn("sale_month", F.trunc("sale_date", "month")))
-        inserted = assign_ids(inserted, "sale_id", base, cut_lineage=True)
+        n_inserted: list[int] = []
+        inserted = assign_ids(inserted, "sale_id", base, cut_lineage=True, counted=n_inserted)
+        n_new = n_inserted[0]
         inserted = inserted.select(*SCHEMAS["fact_sales"].fieldNames())
         # Rebalance by month: few files per month, and AQE splits a hot month.
         self._append("fact_sales", inserted.hint("rebalance", "sale_month"), partition="sale_month")
 
         loaded = inserted.groupBy("source_file").agg(F.count(F.lit(1)).cast("int").alias("rows_loaded"))
-        loaded = loaded.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(loaded)
-        n_new = loaded.agg(F.sum("rows_loaded")).first()[0] or 0
         self.sequences["fact_sales"] = base + n_new
         runs = (verdicts.join(loaded, "source_file", "left")
                 .select(F.lit(DAG_ID).alias("dag_id"), now.alias("run_date"), "source_file",
@@ -266,9 +265,10 @@ class Warehouse:
                         "status", F.col("error").alias("error_message"),
                         F.col("source_file").alias("_order")))
         run_base = self.next_id_base("pipeline_runs", "run_id")
-        runs = assign_ids(runs, "run_id", run_base, order="_order", cached=cached)
+        n_runs: list[int] = []
+        runs = assign_ids(runs, "run_id", run_base, order="_order", cached=cached, counted=n_runs)
         self._append("pipeline_runs", runs)
-        self.sequences["pipeline_runs"] = run_base + verdicts.count()
+        self.sequences["pipeline_runs"] = run_base + n_runs[0]
         runs = self.table("pipeline_runs").filter(F.col("run_id") > run_base)
         # this batch's facts, read back from the table (sale ids are dense)
         new_facts = self.table("fact_sales").filter(
