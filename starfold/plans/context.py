@@ -13,9 +13,9 @@ scheduled load followed by dashboard reads.
 
 from __future__ import annotations
 
+import functools
 import os
 import threading
-from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,39 +25,51 @@ from ..sources.sales_drop import derive_drop, split_drop
 from .warehouse import BatchReport, Warehouse
 
 
+def _once(fn):
+    """Compute a Run attribute once, under the Run's lock (thread-safe,
+    unlike functools.cached_property on Python 3.12+)."""
+    name = fn.__name__
+
+    @functools.wraps(fn)
+    def get(self):
+        with self._lock:
+            if name not in self._memo:
+                self._memo[name] = fn(self)
+            return self._memo[name]
+    return property(get)
+
+
 class Run:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._lock = threading.RLock()
+        self._memo: dict = {}
 
-    @cached_property
+    @_once
     def drop(self) -> DataFrame:
         """The derived drop, kept (memory, spilling to disk) because the
         one-run load, both halves of the two-run load and the CSV writers
         all read it; a lost partition is re-derived from the tables."""
         return derive_drop(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
-    @cached_property
+    @_once
     def one(self) -> tuple[Warehouse, BatchReport]:
-        with self._lock:
-            wh = Warehouse.create(self.spark)
-            return wh, wh.load(self.drop, refresh="full")
+        wh = Warehouse.create(self.spark)
+        return wh, wh.load(self.drop, refresh="full")
 
-    @cached_property
+    @_once
     def two(self) -> tuple[Warehouse, list[BatchReport]]:
-        with self._lock:
-            early, late = split_drop(self.drop)
-            wh = Warehouse.create(self.spark)
-            r1 = wh.load(early, refresh="incremental")
-            r2 = wh.load(late, refresh="incremental")
-            return wh, [r1, r2]
+        early, late = split_drop(self.drop)
+        wh = Warehouse.create(self.spark)
+        r1 = wh.load(early, refresh="incremental")
+        r2 = wh.load(late, refresh="incremental")
+        return wh, [r1, r2]
 
-    @cached_property
+    @_once
     def replay(self) -> BatchReport:
-        with self._lock:
-            wh, _ = self.two
-            _, late = split_drop(self.drop)
-            return wh.load(late, refresh="incremental")
+        wh, _ = self.two
+        _, late = split_drop(self.drop)
+        return wh.load(late, refresh="incremental")
 
     @property
     def wh(self) -> Warehouse:

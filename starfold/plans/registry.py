@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import ledger, quality, reports
 from .context import Run, run_for
-from .warehouse import SEED_PRODUCTS, monthly_rollup, seed_frame
+from .warehouse import monthly_rollup, seed_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,5 +178,3 @@ QUERIES: dict[str, Query] = {
     "dq_cross_batch_overlap": _on(lambda r: quality.dq_cross_batch_overlap(r.report.accepted)),
     "dq_summary": _wh(quality.dq_summary),
 }
-
-assert len(SEED_PRODUCTS) == 14

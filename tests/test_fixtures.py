@@ -61,7 +61,9 @@ def loaded(spark, tmp_path_factory):
                        ("raw/a7.csv", RAGGED), ("raw/a8.csv", REORDERED), ("raw/a9.csv", NO_REGION)]:
         write_csv(root, name, text)
     wh = Warehouse.create(spark)
-    first = run_csv_batch(wh, root, archive_root=str(tmp_path_factory.mktemp("archive")))
+    archive = str(tmp_path_factory.mktemp("archive"))
+    first = run_csv_batch(wh, root, archive_root=archive)
+    wh.fixture_archive = archive
     state1 = {t: wh.table(t).collect() for t in ("fact_sales", "dim_customers", "dim_products")}
     write_csv(root, "raw/b1.csv", LATER)
     second = run_csv_batch(wh, root)
@@ -164,3 +166,10 @@ def test_replay_is_noop(loaded, spark):
     rep = wh.load(recs.filter(F.col("source_file") == "raw/a1.csv"))
     assert [r["rows_loaded"] for r in rep.runs.collect()] == [0]               # case 23
     assert wh.table("fact_sales").count() == before
+
+
+def test_archive_holds_successful_files_only(loaded, spark):
+    wh, _, _, _ = loaded
+    arch = spark.read.option("header", True).csv(wh.fixture_archive)
+    keys = {r["archive_key"]: r["n"] for r in arch.groupBy("archive_key").agg(F.count("*").alias("n")).collect()}
+    assert keys == {"archive/a1.csv": 11, "archive/a8.csv": 1}      # every raw record, raw/ -> archive/
