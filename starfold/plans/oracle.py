@@ -369,5 +369,18 @@ FINAL = {
 }
 
 
+_AS_READ = ", ".join(f"NULLIF({c}, '') AS {c}" for c in REQUIRED_COLUMNS)
+# month number of a drop file name raw/sales_YYYY_MM.csv
+_MONTH = "CAST(substr(source_file, 16, 2) AS INTEGER)"
+FINAL.update({
+    # the CSV drop written from the derived drop and read back by name
+    "csv_scan": f"SELECT {_AS_READ} FROM drop_",
+    # the messy drop: months 1, 6, 11 lack a column, month 7 has ragged records
+    "csv_union_by_name": f"SELECT {_AS_READ} FROM drop_ WHERE {_MONTH} NOT IN (1, 6, 7, 11)",
+    "csv_roundtrip": ("SELECT COUNT(*) AS written, COUNT(*) AS read, CAST(0 AS BIGINT) AS only_written, "
+                      "CAST(0 AS BIGINT) AS only_read FROM drop_"),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: BASE + v for k, v in FINAL.items()}
