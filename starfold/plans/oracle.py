@@ -372,6 +372,7 @@ FINAL = {
 _AS_READ = ", ".join(f"NULLIF({c}, '') AS {c}" for c in REQUIRED_COLUMNS)
 # month number of a drop file name raw/sales_YYYY_MM.csv
 _MONTH = "CAST(substr(source_file, 16, 2) AS INTEGER)"
+_FOLDER = "'raw/part=' || substr(source_file, 11, 7)"
 FINAL.update({
     # the CSV drop written from the derived drop and read back by name
     "csv_scan": f"SELECT {_AS_READ} FROM drop_",
@@ -379,6 +380,19 @@ FINAL.update({
     "csv_union_by_name": f"SELECT {_AS_READ} FROM drop_ WHERE {_MONTH} NOT IN (1, 6, 7, 11)",
     "csv_roundtrip": ("SELECT COUNT(*) AS written, COUNT(*) AS read, CAST(0 AS BIGINT) AS only_written, "
                       "CAST(0 AS BIGINT) AS only_read FROM drop_"),
+    # structural checks per drop folder (raw/part=YYYY_MM, plus raw/empty with
+    # one header-only file)
+    "validate_required_columns": (
+        f"SELECT DISTINCT {_FOLDER} AS folder, "
+        f"CASE WHEN {_MONTH} IN (1, 6, 11) THEN 'channel' ELSE '' END AS missing_columns, "
+        f"{_MONTH} NOT IN (1, 6, 11) AS has_required_columns FROM drop_ "
+        "UNION ALL SELECT 'raw/empty', '', true"),
+    "validate_non_empty": (
+        f"SELECT {_FOLDER} AS folder, COUNT(*) AS n_records, true AS non_empty FROM drop_ GROUP BY 1 "
+        "UNION ALL SELECT 'raw/empty', CAST(0 AS BIGINT), false"),
+    "validate_ragged": (
+        f"SELECT {_FOLDER} AS folder, bool_or({_MONTH} = 7 AND a_n = 1) AS ragged FROM drop_ GROUP BY 1 "
+        "UNION ALL SELECT 'raw/empty', false"),
 })
 
 

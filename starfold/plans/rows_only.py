@@ -1,9 +1,9 @@
 """Registered keys over CSV files, streams and table versions.  Each reads
 the driver tables through a CSV drop that Spark writes from the derived
-sales drop.  ``csv_scan``, ``csv_union_by_name`` and ``csv_roundtrip`` also
-have a SQL statement; the others (file-level checks whose file names carry
-writer ids, arrival order, run history, staleness, the stream) are
-rows-only and covered by tests.
+sales drop.  The CSV scans, the round trip and the structural checks (per
+drop folder: file names carry writer ids) also have a SQL statement; arrival
+order, run history, staleness and the stream are rows-only and covered by
+tests.
 """
 
 from __future__ import annotations
@@ -66,20 +66,28 @@ def csv_union_by_name(r: Run) -> DataFrame:
     return _as_read(recs)
 
 
+def _folder() -> F.Column:
+    return F.regexp_extract("source_file", r"^(.*)/[^/]+$", 1).alias("folder")
+
+
 def validate_required_columns(r: Run) -> DataFrame:
+    """Per drop folder: the required columns its files lack."""
     _, checks = _messy(r)
-    return checks.select("source_file", F.array_join("missing_columns", ",").alias("missing_columns"),
-                         (F.size("missing_columns") == 0).alias("has_required_columns"))
+    return checks.select(_folder(), F.array_join("missing_columns", ",").alias("missing_columns"),
+                         (F.size("missing_columns") == 0).alias("has_required_columns")).distinct()
 
 
 def validate_non_empty(r: Run) -> DataFrame:
+    """Per drop folder: records below the headers, and whether every file has some."""
     _, checks = _messy(r)
-    return checks.select("source_file", "n_records", (F.col("n_records") > 0).alias("non_empty"))
+    return checks.groupBy(_folder()).agg(F.sum("n_records").alias("n_records"),
+                                         F.bool_and(F.col("n_records") > 0).alias("non_empty"))
 
 
 def validate_ragged(r: Run) -> DataFrame:
+    """Per drop folder: whether any file has a record wider than its header."""
     _, checks = _messy(r)
-    return checks.select("source_file", "ragged", "status", "reason")
+    return checks.groupBy(_folder()).agg(F.bool_or("ragged").alias("ragged"))
 
 
 def arrival_order(r: Run) -> DataFrame:
@@ -143,13 +151,13 @@ CSV_WITH_SQL = {
     "csv_scan": _on(csv_scan),
     "csv_union_by_name": _on(csv_union_by_name),
     "csv_roundtrip": _on(lambda r: csv_roundtrip(r)),
+    "validate_required_columns": _on(validate_required_columns),
+    "validate_non_empty": _on(validate_non_empty),
+    "validate_ragged": _on(validate_ragged),
 }
 
 ROWS_ONLY = {
     **CSV_WITH_SQL,
-    "validate_required_columns": _on(validate_required_columns),
-    "validate_non_empty": _on(validate_non_empty),
-    "validate_ragged": _on(validate_ragged),
     "arrival_order": _on(arrival_order),
     "dash_run_history": _on(dash_run_history),
     "mv_staleness": _on(mv_staleness),

@@ -58,8 +58,9 @@ def test_csv_roundtrip_is_exact(spark):
 
 
 def test_messy_drop_file_checks(spark):
-    from starfold.plans.rows_only import validate_ragged
-    rows = validate_ragged(run_for(spark, SF_SMALL)).collect()
+    from starfold.plans.rows_only import _messy
+    _, checks = _messy(run_for(spark, SF_SMALL))
+    rows = checks.collect()
     by_reason = {}
     for r in rows:
         by_reason.setdefault(r["reason"], []).append(r["source_file"])
