@@ -390,6 +390,16 @@ FINAL.update({
     "validate_non_empty": (
         f"SELECT {_FOLDER} AS folder, COUNT(*) AS n_records, true AS non_empty FROM drop_ GROUP BY 1 "
         "UNION ALL SELECT 'raw/empty', CAST(0 AS BIGINT), false"),
+    # rollup stored after the first of two runs vs the live rollup: a month's
+    # revenue is the sum over its facts whatever the category mapping
+    "mv_staleness": (
+        "SELECT COALESCE(s.month, l.month) AS month, s.stored_revenue, l.live_revenue, "
+        "s.stored_revenue IS DISTINCT FROM l.live_revenue AS stale FROM "
+        "(SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, "
+        f"CAST(SUM(total_amount) AS DOUBLE) AS stored_revenue FROM fact WHERE source_file < {_q(SPLIT_FILE)} "
+        "GROUP BY 1) s FULL OUTER JOIN "
+        "(SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, "
+        "CAST(SUM(total_amount) AS DOUBLE) AS live_revenue FROM fact GROUP BY 1) l ON s.month = l.month"),
     "validate_ragged": (
         f"SELECT {_FOLDER} AS folder, bool_or({_MONTH} = 7 AND a_n = 1) AS ragged FROM drop_ GROUP BY 1 "
         "UNION ALL SELECT 'raw/empty', false"),
