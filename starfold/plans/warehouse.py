@@ -153,40 +153,51 @@ class Warehouse:
         self.paths: dict[str, str] = {}
         self.history: dict[str, list[str]] = {}  # earlier versions, kept on disk
         self.sequences: dict[str, int] = {}       # last id handed out per table
+        self._written: set[str] = set()           # tables with data on storage
+        self._initial: dict[str, DataFrame] = {}  # rows of tables not written yet
 
     # -- storage ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
+        """Current version; a table never written yet reads as its initial
+        rows (empty, or the seed catalogue) without touching storage."""
+        if name not in self._written:
+            return self._initial.get(name) or self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.paths[name])
 
     def _replace(self, name: str, df: DataFrame) -> None:
         path = f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
         df.select(*SCHEMAS[name].fieldNames()).write.mode("error").parquet(path)
-        if name in self.paths:
-            self.history.setdefault(name, []).append(self.paths[name])
+        # earlier version (None = the initial rows) stays readable
+        self.history.setdefault(name, []).append(self.paths.get(name) if name in self._written else None)
         self.paths[name] = path
+        self._written.add(name)
 
     def version(self, name: str, index: int) -> DataFrame:
         """An earlier version of a replaced table (0 = first)."""
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.history[name][index])
+        path = self.history[name][index]
+        if path is None:
+            return self._initial.get(name) or self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
 
     def _append(self, name: str, df: DataFrame, partition: str | None = None) -> None:
         w = df.select(*SCHEMAS[name].fieldNames()).write.mode("append")
         if partition:
             w = w.partitionBy(partition)
         w.parquet(self.paths[name])
+        self._written.add(name)
 
     @classmethod
     def create(cls, spark: SparkSession, seed: bool = True, root: str | None = None) -> "Warehouse":
+        """A new, empty warehouse.  Nothing is written until the first load:
+        the append-only tables get fixed folders, and the product dimension
+        starts as the seed catalogue (an insert-ignore into an empty table)."""
         wh = cls(spark, root)
-        empty = {n: spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
-        for name in ("dim_customers", "pipeline_runs", "mv_monthly_sales"):
-            wh._replace(name, empty[name])
         wh.paths["fact_sales"] = f"{wh.root}/fact_sales"
-        empty["fact_sales"].write.mode("error").partitionBy("sale_month").parquet(wh.paths["fact_sales"])
-        products = empty["dim_products"]
-        if seed:  # insert-ignore of the catalogue into an empty table
-            products = seed_frame(spark).join(products.select("product_id"), "product_id", "left_anti")
-        wh._replace("dim_products", products)
+        wh.paths["pipeline_runs"] = f"{wh.root}/pipeline_runs"
+        if seed:
+            created = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            wh._initial["dim_products"] = seed_frame(spark).withColumn(
+                "created_at", F.lit(created).cast("timestamp"))
         return wh
 
     # -- the batch -------------------------------------------------------
@@ -231,7 +242,6 @@ class Warehouse:
                           good.select("product_id", "product_name", "category", "unit_price", "_arrival"),
                           keys=["product_id"], update_cols=["product_name", "category", "unit_price"],
                           now=now)
-        old_product_path = self.paths["dim_products"]
         self._replace("dim_customers", customers)
         self._replace("dim_products", products)
         customers = self.table("dim_customers")
@@ -283,8 +293,7 @@ class Warehouse:
             if refresh == "full":
                 self.refresh_full()
             else:
-                old = self.spark.read.schema(SCHEMAS["dim_products"]).parquet(old_product_path)
-                report.touched_months = self.refresh_incremental(new_facts, old)
+                report.touched_months = self.refresh_incremental(new_facts, old_products)
         for df in cached:
             df.unpersist()
         return report
