@@ -2,17 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.llm import bpe, quality, token_planes
 from starfold.llm.line_dedup import dedup_lines
+from starfold.llm.sharding import shard_documents
+from starfold.llm.token_counts import count_tokens
+from starfold.session import fresh_path
 from starfold.sources.tables import read_table
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup over documents: counts and the digest of what stays."""
-    out = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup_lines(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids in files of byte planes, read back from the files."""
+    path = fresh_path(spark, "token-planes")
+    token_planes.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_planes.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules' numbers and verdict on each document."""
+    path = fresh_path(spark, "quality-features")
+    numbers = quality.features(documents(spark, sf_dir))
+    numbers.select(F.struct(F.col("row.doc_id").alias("doc_id")).alias("row"), *numbers.columns[1:]).write.parquet(path)  # so texts are read once
+    scored = spark.read.parquet(path)
+    out = quality.judge(scored, quality.fit(scored))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return out.select("row.doc_id", *base, "base_failed", "kept", "quality")
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids and back: digests of the ids and of the decoded bytes."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode(documents(spark, sf_dir), *vocabulary).drop("text")
+    out = bpe.decode(coded, *vocabulary)
+    return out.select("doc_id", "n_tokens", F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document, and whether it exceeds 2,048 tokens."""
+    out = count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in eight shards of nearly equal bytes, equal texts together."""
+    docs = documents(spark, sf_dir).withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit(""))))
+    out = shard_documents(docs, shards=8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_token_planes": op2_token_planes,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_token_counts": op9_token_counts,
+    "op10_sharding": op10_sharding,
+}
