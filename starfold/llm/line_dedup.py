@@ -5,7 +5,7 @@ per hash; the lines over the threshold go, and the text is reassembled by positi
 
 Plan: the counts are two partial aggregates (hash and document, then hash), so a line that a third of all
 documents hold never meets in one task. Its occurrences are found by a join with the few hashes over the threshold,
-which adaptive execution splits where a hash is hot (nothing above the join needs the rows of a hash together).
+salted by the document and split further by adaptive execution where a hash is hot.
 Only positions travel to the documents, no line text.
 """
 
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from starfold.llm.text import BLANKS, ascii_lower, hash_pair, put, whole
 
+#: Places in which the documents of one line are joined.
+SALTS = 16
+
 
 def dropped_positions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(d, k, drop): by doc_id and hash of the text, the positions of the lines to drop."""
@@ -26,7 +29,10 @@ def dropped_positions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     keyed = lines.select("d", "k", "pos", bare.alias("bare")).where(F.char_length("bare") >= min_chars).select("d", "k", "pos", h1.alias("h1"), h2.alias("h2"))
     held = keyed.where(F.col("d").isNotNull()).select("h1", "h2", "d").distinct()
     common = held.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("d").alias("keeper")).where(F.col("n") >= min_docs)
-    hits = keyed.join(common.drop("n"), ["h1", "h2"]).where(F.col("d").isNull() | (F.col("d") != F.col("keeper")))
+    # a line that a third of all documents hold is joined in SALTS places
+    common = common.select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    keyed = keyed.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int"))
+    hits = keyed.join(common, ["h1", "h2", "salt"]).where(F.col("d").isNull() | (F.col("d") != F.col("keeper")))
     return hits.groupBy("d", "k").agg(F.collect_set("pos").alias("drop"))
 
 
