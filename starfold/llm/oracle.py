@@ -16,4 +16,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE = {"op1_line_dedup": OP1}
+WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP4 = f"""
+WITH items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+ws AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS win
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM ws),
+texts AS (SELECT text, {WORDS} AS w FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents)),
+places AS (SELECT text, n, i, list_slice(w, i, i + n - 1) AS win
+           FROM (SELECT text, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM texts, sizes)),
+found AS (SELECT text, n, i, item_id FROM places JOIN ws USING (win)),
+hit AS (SELECT text, count(DISTINCT p) AS n_hit FROM (SELECT text, unnest(range(i, i + n)) AS p FROM found) GROUP BY text),
+named AS (SELECT text, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT text, item_id::VARCHAR AS item_id FROM found) GROUP BY text)
+SELECT doc_id, len(texts.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents JOIN texts ON coalesce(documents.text, '') = texts.text
+LEFT JOIN hit ON hit.text = texts.text LEFT JOIN named ON named.text = texts.text
+"""
+
+ORACLE = {"op1_line_dedup": OP1, "op4_decontamination": OP4}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm import bpe, quality, token_planes
+from starfold.llm.decontam import contamination
 from starfold.llm.line_dedup import dedup_lines
 from starfold.llm.sharding import shard_documents
 from starfold.llm.token_counts import count_tokens
@@ -31,6 +32,13 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of benchmark items, and the items found."""
+    out = contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules' numbers and verdict on each document."""
     path = fresh_path(spark, "quality-features")
@@ -66,6 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_planes": op2_token_planes,
+    "op4_decontamination": op4_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
