@@ -28,7 +28,7 @@ from starfold.session import checkpoint_root
 #: The smallest part of all bytes that a first-round bin may have.
 BINS = 2048
 #: Rows of a shard that are numbered together, about.
-RUN = 20_000
+RUN = 2_000
 
 
 class Rooms:
