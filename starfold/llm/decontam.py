@@ -16,19 +16,11 @@ limit (``spark.sql.autoBroadcastJoinThreshold``); beyond it the same joins shuff
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.tables import stored
 from starfold.llm.text import hash_pair, put, whole, words
-from starfold.session import fresh_path
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back: cut from its lineage, its size known."""
-    spark: SparkSession = frame.sparkSession
-    path = fresh_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.parquet(path)
 
 
 def windows_of(items: DataFrame, text: str = "text", item_id: str = "item_id", size: int = 10) -> DataFrame:

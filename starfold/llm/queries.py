@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starfold.llm import bpe, quality, token_planes
 from starfold.llm.decontam import contamination
 from starfold.llm.line_dedup import dedup_lines
+from starfold.llm.ngram_join import classes
 from starfold.llm.sharding import shard_documents
 from starfold.llm.token_counts import count_tokens
 from starfold.session import fresh_path
@@ -32,6 +33,11 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of near copies (five words, similarity 0.8) and its number of links."""
+    return classes(documents(spark, sf_dir), size=5, threshold=0.8)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside windows of benchmark items, and the items found."""
     out = contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -74,6 +80,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_planes": op2_token_planes,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
