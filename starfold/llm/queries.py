@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, quality, token_planes
+from starfold.llm import bpe, quality, token_planes, toxicity
 from starfold.llm.decontam import contamination
 from starfold.llm.line_dedup import dedup_lines
 from starfold.llm.ngram_join import classes
@@ -45,6 +45,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned from the labels outside the held-out fifth."""
+    docs = documents(spark, sf_dir)
+    out_of = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    labels = read_table(spark, sf_dir, "labels").where(~out_of).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    return scored.select("doc_id", F.coalesce(out_of, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules' numbers and verdict on each document."""
     path = fresh_path(spark, "quality-features")
@@ -82,6 +91,7 @@ QUERIES = {
     "op2_token_planes": op2_token_planes,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
