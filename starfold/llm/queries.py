@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starfold.llm import bpe, quality, token_planes, toxicity
 from starfold.llm.decontam import contamination
+from starfold.llm.html_extract import extract
 from starfold.llm.line_dedup import dedup_lines
 from starfold.llm.ngram_join import classes
 from starfold.llm.sharding import shard_documents
@@ -54,6 +55,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(out_of, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules' numbers and verdict on each document."""
     path = fresh_path(spark, "quality-features")
@@ -92,6 +99,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
