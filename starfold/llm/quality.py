@@ -161,4 +161,7 @@ def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     rows are judged alike; an empty table gives an empty one; other columns, whatever their names, are carried along untouched.
     """
     scored = features(docs, text)
-    return judge(scored, fit(scored)).where("kept").select(*put(docs, "row"))
+    judged = judge(scored, fit(scored))
+    # the observed counts also keep the filter where it is: pushed below, it would work out the lists of words again for each of their elements
+    judged = judged.observe("quality_rules", F.count("*").alias("seen"), F.count_if("kept").alias("kept"))
+    return judged.where("kept").select(*put(docs, "row"))
