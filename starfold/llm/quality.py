@@ -2,8 +2,8 @@
 
 Each rule reads a few numbers of a text and votes good (1), bad (-1) or abstains (0). How often a rule is right is estimated
 without labels: documents are counted by their votes (at most 3 ** len(RULES) = 2,187 rows, however many documents),
-and expectation-maximisation over those counts finds, for each rule, how often it votes good on good and bad on bad
-texts. The posterior probability of "good" then decides, instead of all rules having to pass.
+and expectation-maximisation over those counts finds, for each rule, how often it votes either way or abstains on good and on
+bad texts. The posterior probability of "good" then decides, instead of all rules having to pass.
 
 Only DataFrame functions touch the documents: one pass over the texts without any shuffle but that of the counts.
 """
@@ -21,8 +21,6 @@ from starfold.llm.text import put, whole
 BLANK = r"[\x09-\x0D\x20]+"
 #: Very common short words of English, French, German and Spanish.
 COMMON = "the of and to in is that it for was on are with this be de la le et les des en que un une est dans par sur avec qui der die das und den von zu mit für ist nicht auf im el los las y por con para se no una su del".split()
-#: Between which an accuracy stays: a rule never counts as worse than a weak one, nor as certain.
-LEAST, MOST = 0.6, 0.99
 
 
 def base_columns(text: Column) -> dict[str, Column]:
@@ -71,72 +69,72 @@ def ratio(name: str, by: str) -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """Each rule: 1, -1 or 0 from the features. The bounds are for running text of any of the languages."""
+    """Each rule: 1, -1 or 0 from the features. The bounds are for running text of any of the languages. A rule that looks for
+    one defect votes against or abstains: that a text lacks the defect says little for it."""
 
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(bad, -1).when(good, 1).otherwise(0)
+    def vote(bad: Column, good: Column | None = None) -> Column:
+        against = F.when(bad, -1)
+        return (against if good is None else against.when(good, 1)).otherwise(0)
 
     symbols, upper, common, repeat = ratio("n_symbols", "n_words"), ratio("n_upper", "word_chars"), ratio("n_common", "n_words"), ratio("n_repeat_words", "n_words")
     length, sentence, dup = ratio("word_chars", "n_words"), ratio("n_words", "n_ends"), ratio("n_dup_lines", "n_lines")
     return {
-        "symbols": vote(symbols < 0.05, symbols > 0.2),
-        "capitals": vote(upper < 0.15, upper > 0.3),
-        "common_words": vote(common > 0.08, common < 0.02),
-        "repetition": vote(repeat < 0.2, repeat > 0.4),
-        "word_length": vote(length.between(3, 8.5), (length < 2) | (length > 12)),
-        "sentences": vote(sentence.between(3, 60), (sentence < 2) | (F.col("n_ends") == 0)),
-        "lines": vote(dup < 0.1, dup > 0.4),
+        "symbols": vote(symbols > 0.2),
+        "capitals": vote(upper > 0.3),
+        "common_words": vote(common < 0.02, common > 0.08),
+        "repetition": vote(repeat > 0.4),
+        "word_length": vote((length < 2) | (length > 12)),
+        "sentences": vote((sentence < 2) | (F.col("n_ends") == 0), sentence.between(3, 60)),
+        "lines": vote(dup > 0.4),
     }
 
 
 RULES = tuple(["symbols", "capitals", "common_words", "repetition", "word_length", "sentences", "lines"])
 
 
+#: How often a rule votes 1, abstains and votes -1 on good texts before anything is known; on bad ones the other way round.
+FIRST = {1: 0.45, 0: 0.45, -1: 0.1}
+
+
 @dataclass(frozen=True)
 class Model:
-    """prior: share of good documents; good[rule], bad[rule]: how often a vote is right on good and on bad ones."""
+    """prior: share of good documents; good[rule][vote], bad[rule][vote]: how often a rule votes so on good and on bad ones
+    (of those, a rule's accuracies are good[rule][1] and bad[rule][-1])."""
 
     prior: float
-    good: dict[str, float]
-    bad: dict[str, float]
+    good: dict[str, dict[int, float]]
+    bad: dict[str, dict[int, float]]
 
     def weight(self, rule: str, vote: int) -> float:
-        """What a vote adds to the log odds of good."""
-        if not vote:
-            return 0.0
-        g, b = self.good[rule], self.bad[rule]
-        return math.log(g / (1 - b)) if vote > 0 else math.log((1 - g) / b)
+        """What a vote adds to the log odds of good; a vote never counts for the other side."""
+        w = math.log(self.good[rule][vote] / self.bad[rule][vote])
+        return max(w, 0.0) if vote > 0 else min(w, 0.0) if vote < 0 else w
 
     def posterior(self) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for rule in RULES:
-            odds = odds + F.when(F.col(rule) > 0, self.weight(rule, 1)).when(F.col(rule) < 0, self.weight(rule, -1)).otherwise(0.0)
+            odds = odds + F.when(F.col(rule) > 0, self.weight(rule, 1)).when(F.col(rule) < 0, self.weight(rule, -1)).otherwise(self.weight(rule, 0))
         return 1 / (1 + F.exp(-odds))
 
 
 def estimate(counts: dict[tuple[int, ...], int], rounds: int = 60) -> Model:
-    """Expectation-maximisation over documents counted by their votes; starts at 80 % right and two good texts of three,
-    and each share has one right and a quarter wrong document added, so an empty table gives these back."""
-
-    def clamp(x: float) -> float:
-        return min(MOST, max(LEAST, x))
-
-    model = Model(2 / 3, dict.fromkeys(RULES, 0.8), dict.fromkeys(RULES, 0.8))
+    """Expectation-maximisation over documents counted by their votes. It starts from FIRST and two good texts of three,
+    and keeps five documents of either kind that vote like that, so an empty table gives these back."""
+    turned = {v: FIRST[-v] for v in FIRST}
+    model = Model(2 / 3, dict.fromkeys(RULES, FIRST), dict.fromkeys(RULES, turned))
     for _ in range(rounds):
-        good, all_good, bad, all_bad = ({r: x for r in RULES} for x in (1.0, 1.25, 1.0, 1.25))
+        good, bad = ({r: {v: 5 * p for v, p in start.items()} for r in RULES} for start in (FIRST, turned))
         sure, every = 2.0, 3.0
+        odds_of = {r: {v: model.weight(r, v) for v in FIRST} for r in RULES}
         for pattern, n in counts.items():
-            odds = math.log(model.prior / (1 - model.prior)) + sum(model.weight(r, v) for r, v in zip(RULES, pattern, strict=True))
+            odds = math.log(model.prior / (1 - model.prior)) + sum(odds_of[r][v] for r, v in zip(RULES, pattern, strict=True))
             p = 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
             sure, every = sure + n * p, every + n
             for r, v in zip(RULES, pattern, strict=True):
-                if v:
-                    all_good[r], all_bad[r] = all_good[r] + n * p, all_bad[r] + n * (1 - p)
-                    if v > 0:
-                        good[r] += n * p
-                    else:
-                        bad[r] += n * (1 - p)
-        model = Model(min(0.99, max(0.01, sure / every)), {r: clamp(good[r] / all_good[r]) for r in RULES}, {r: clamp(bad[r] / all_bad[r]) for r in RULES})
+                good[r][v] += n * p
+                bad[r][v] += n * (1 - p)
+        share = [{r: {v: x / sum(of[r].values()) for v, x in of[r].items()} for r in RULES} for of in (good, bad)]
+        model = Model(min(0.99, max(0.01, sure / every)), *share)
     return model
 
 
