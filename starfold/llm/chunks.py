@@ -1,10 +1,10 @@
 """Encoding through a cache of chunks.
 
-A chunk is a run of spaces and line feeds with the other characters after it. The tokenizers' patterns never match
-from a non-space into a space, and a chunk ends where a space follows, so a text's tokens are those of its chunks, one
-after another. Words repeat, so most chunks come out of a dictionary, and the library sees only the new ones, all
-those of a batch at once. Where the proof doesn't hold - other kinds of white space, the strings of special tokens - the
-library gets the whole text.
+A chunk is a run of spaces and line feeds with the other characters after it, up to a comma or full stop that follows a
+letter or digit. The tokenizers' patterns never match from a non-space into a space, nor from a letter or digit into a
+sign, so a text's tokens are those of its chunks, one after another. Words repeat, so most chunks come out of a
+dictionary, and the library sees only the new ones. Where the proof doesn't hold - other kinds of white space, the strings
+of special tokens - the library gets the whole text.
 """
 
 from __future__ import annotations
@@ -14,33 +14,53 @@ from collections.abc import Callable, Sequence
 
 #: Controls, white space beyond space and line feed, and invisible formats: such texts go to the library as they are.
 ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]")
-#: White space next to white space.
-DOUBLE = re.compile("[ \n]{2}")
+#: A comma or full stop that follows neither letter nor digit.
+LOOSE = re.compile(r"[.,](?<=[\W_].)", re.S)
 CHUNK = re.compile("[ \n]*[^ \n]+|[ \n]+")
 
 
 def cut(text: str) -> list[str]:
     """The chunks of a text in which ODD finds nothing."""
-    if DOUBLE.search(text):
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in (".", ",") or LOOSE.search(text):
         return CHUNK.findall(text)
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
+    return text.replace(" ", "\x00 ").replace("\n", "\x00\n").replace(",", "\x00,").replace(".", "\x00.").split("\x00")
+
+
+class Recent:
+    """A bounded dictionary in two generations. When the young one is full it becomes the old one; what is asked for again moves
+    to the young one, so frequent entries stay and rare ones go, whatever the order of the texts."""
+
+    def __init__(self, make_many: Callable[[list[str]], Sequence], most: int = 250_000):
+        self.make_many, self.most = make_many, most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def filled(self, keys: set[str]) -> dict:
+        """A dictionary that holds all the keys."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young, old, new = self.young, self.old, []
+        for key in keys.difference(young):
+            value = old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                young[key] = value
+        young.update(zip(new, self.make_many(new), strict=True))
+        return young
 
 
 class ChunkCoder:
-    """encode_many: bytes of ids for each string. special: strings that the library looks for in whole texts.
-    most: entries of the dictionary; when it is full, it is begun anew, which costs time and changes nothing."""
+    """encode_many: bytes of ids for each string. special: strings that the library looks for in whole texts."""
+
+    def __init__(self, encode_many: Callable[[Sequence[str]], list[bytes]], special: Sequence[str] = (), at_once: int = 4_000):
+        def in_portions(new: list[str]) -> list[bytes]:  # the library's results are far larger than the ids
+            return [x for i in range(0, len(new), at_once) for x in encode_many(new[i : i + at_once])]
 
-    def __init__(self, encode_many: Callable[[Sequence[str]], list[bytes]], special: Sequence[str] = (), most: int = 400_000):
-        self.encode_many, self.special, self.most = encode_many, tuple(special), most
-        self.known: dict[str, bytes] = {"": b""}
+        self.encode_many, self.special, self.known = encode_many, tuple(special), Recent(in_portions)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         parts = [None if ODD.search(t) or any(s in t for s in self.special) else cut(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known = {"": b""}
-        new = list({c for p in parts if p for c in p}.difference(self.known))
-        self.known.update(zip(new, self.encode_many(new), strict=True))
-        left = iter(self.encode_many([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        get = self.known.__getitem__
-        return [next(left) if p is None else b"".join(map(get, p)) for p in parts]
+        get = self.known.filled(set().union(*filter(None, parts))).__getitem__
+        return [self.encode_many([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]

@@ -47,7 +47,7 @@ def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of text each (one row at least), so that memory doesn't
     depend on how many rows Spark puts into a batch."""
     for batch in batches:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starfold.llm.bpe import byte_table, tokenizer
+from starfold.llm.chunks import Recent
 from starfold.llm.text import portions, put, strings, whole
 
 ODD = re.compile("[\x00\x1c-\x1f᠎​-‏⁠-⁤﻿]")
@@ -48,29 +49,21 @@ def proven(path: str) -> frozenset[str]:
 
 
 class Counts:
-    """Tokens of texts; most: words that the dictionary holds before it is begun anew."""
+    """Tokens of texts."""
 
-    def __init__(self, path: str, most: int = 500_000):
-        self.library, self.whole, self.most = tokenizer(path, None), proven(path), most
+    def __init__(self, path: str):
+        self.library, self.whole = tokenizer(path, None), proven(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, int] = {}
+        self.known = Recent(lambda new: list(map(self.word, new)), most=300_000)
 
     def word(self, word: str) -> int:
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
         return sum(1 if p in self.whole else len(self.library.model.tokenize(p)) for p, _ in pieces)
 
-    def text(self, text: str) -> int:
-        if ODD.search(text) or any(s in text for s in self.special):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        words = text.split()
-        try:
-            return sum(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > self.most:
-                self.known = {}
-            for w in set(words).difference(self.known):
-                self.known[w] = self.word(w)
-            return sum(map(self.known.__getitem__, words))
+    def texts(self, texts: list[str]) -> list[int]:
+        parts = [None if ODD.search(t) or any(s in t for s in self.special) else t.split() for t in texts]
+        get = self.known.filled(set().union(*filter(None, parts))).__getitem__
+        return [len(self.library.encode(t, add_special_tokens=False).ids) if p is None else sum(map(get, p)) for t, p in zip(texts, parts, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -93,7 +86,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 20
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted = counts(path)
         for batch in portions(batches, "_text"):
-            n = pa.array([counted.text(t) for t in strings(batch.column("_text"))], pa.int64())
+            n = pa.array(counted.texts(strings(batch.column("_text"))), pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), n], names=[*(f.name for f in kept), "n_tokens"])
 
     out = src.mapInArrow(run, T.StructType([*kept, T.StructField("n_tokens", T.LongType())]))
