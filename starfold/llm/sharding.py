@@ -79,17 +79,22 @@ class BestFit:
 
 
 def pack(sizes: list[tuple[int, object]], shards: int) -> dict[object, int]:
-    """name -> shard for things given as (size, name): best fit by falling size at the least capacity, found by
-    bisection, that needs at most ``shards`` bins."""
+    """name -> shard for things given as (size, name): a thing as large as an equal part of what is left gets a shard of its
+    own, the rest goes by best fit by falling size at the least capacity, found by bisection, that needs at most the
+    shards left."""
     order = sorted(sizes, key=lambda x: (-x[0], str(x[1])))
-    total = sum(s for s, _ in order)
-    low, high = max(-(-total // shards), order[0][0] if order else 1), max(total, 1)
+    total, alone = sum(s for s, _ in order), 0
+    while alone < min(shards - 1, len(order)) and order[alone][0] * (shards - alone) >= total:
+        total -= order[alone][0]
+        alone += 1
+    rest, left = order[alone:], shards - alone
+    low, high = max(-(-total // left), rest[0][0] if rest else 1), max(total, 1)
 
     def fitted(capacity: int) -> list[int] | None:
         fit, out = BestFit(capacity), []
-        for size, _ in order:
+        for size, _ in rest:
             out.append(fit.put(size))
-            if fit.bins > shards:
+            if fit.bins > left:
                 return None
         return out
 
@@ -100,7 +105,7 @@ def pack(sizes: list[tuple[int, object]], shards: int) -> dict[object, int]:
             low = mid + 1
         else:
             best, high = got, mid
-    return {name: shard for (_, name), shard in zip(order, best, strict=True)}
+    return {name: i for i, (_, name) in enumerate(order[:alone])} | {name: alone + shard for (_, name), shard in zip(rest, best, strict=True)}
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, text: str = "text", doc_id: str = "doc_id", bins: int = BINS) -> DataFrame:
