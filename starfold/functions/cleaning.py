@@ -98,6 +98,28 @@ def parse_date(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.when(d.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), d)
 
 
+# Forms of a date that a file may use; the file's first date decides, the
+# earlier form first where several fit.
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "yyyyMMdd",
+                "MM/dd/yyyy", "dd/MM/yyyy", "MM-dd-yyyy", "dd.MM.yyyy", "d MMM yyyy", "MMM d, yyyy")
+
+
+def date_format_of(first: Column) -> Column:
+    """The form of DATE_FORMATS that a file's first date has; ISO if none fits."""
+    out = F.lit(DATE_FORMATS[0])
+    for fmt in reversed(DATE_FORMATS):
+        out = F.when(F.try_to_timestamp(first, F.lit(fmt)).isNotNull(), F.lit(fmt)).otherwise(out)
+    return out
+
+
+def parse_by_format(c: Column, fmt: Column) -> Column:
+    """Dates of files with different forms: each row by the form of its file."""
+    out = F.lit(None).cast("date")
+    for known in reversed(DATE_FORMATS):
+        out = F.when(fmt == known, parse_date(c, known)).otherwise(out)
+    return out
+
+
 def _first_error(checks: list[tuple[Column, str]]) -> Column:
     out = None
     for cond, msg in checks:
@@ -113,16 +135,20 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
     mapping, number parse, date parse) is computed once per row and later
     steps refer to it by name; Catalyst does not inline a non-trivial
     expression into several consumers, so the stages stay separate and each
-    stays small enough for whole-stage codegen.
+    stays small enough for whole-stage codegen.  A drop with a
+    ``_date_format`` column (one form per file) is read by it, else all dates
+    by ``date_format``.
     """
     text_cols = ("order_id", "sale_date", "customer_name", "customer_email", "region",
                  "channel", "product_id", "product_name", "category", "quantity",
                  "unit_price", "discount_pct", "total_amount")
+    by_file = "_date_format" in raw.columns
     fill = (lambda c: F.coalesce(c, F.lit(missing_text))) if missing_text is not None else (lambda c: c)
     col = F.col
 
     # 1. NA tokens -> NULL, once per column
-    st = raw.select(*[na(col(c)).alias(f"{c}_s") for c in text_cols], "source_file", "_arrival")
+    st = raw.select(*[na(col(c)).alias(f"{c}_s") for c in text_cols], "source_file", "_arrival",
+                    *(["_date_format"] if by_file else []))
 
     # 2. parses, once per column
     numeric = ("quantity", "product_id", "unit_price", "discount_pct", "total_amount", "region", "channel")
@@ -132,7 +158,8 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
         strip_text(col("unit_price_s")).try_cast("decimal(10,2)").alias("_price_dec"),
         strip_text(col("discount_pct_s")).try_cast("decimal(5,2)").alias("_disc_dec"),
         strip_text(col("total_amount_s")).try_cast("decimal(12,2)").alias("_total_dec"),
-        parse_date(col("sale_date_s"), date_format).alias("sale_date"),
+        (parse_by_format(col("sale_date_s"), col("_date_format")) if by_file
+         else parse_date(col("sale_date_s"), date_format)).alias("sale_date"),
     )
 
     # 3. typed values and row flags

@@ -20,16 +20,17 @@ class CsvBatch:
 
 
 def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
-                  use_ledger: bool = True, archive_root: str | None = None) -> CsvBatch:
+                  use_ledger: bool = True, archive_root: str | None = None, multi_line: bool = False) -> CsvBatch:
     """Load every valid CSV file under ``root`` not yet loaded successfully.
 
     Invalid files (missing columns, empty, ragged) are reported in ``checks``
-    and left in place, like the validation step that skips them.  With
+    and left in place, like the validation step that skips them; where others
+    are loaded, they get a ledger row with status ``invalid``.  With
     ``archive_root`` the raw records of successful files are appended to an
     archive dataset partitioned by archive key (``raw/`` -> ``archive/``).
     """
     spark = wh.spark
-    lines, drop, checks = scan_drop(spark, root)
+    lines, drop, checks = scan_drop(spark, root, multi_line)
     valid = checks.filter(F.col("status") == "valid").select("source_file")
     if use_ledger:
         # The new-file list reads the ledger this batch appends to; cut its
@@ -40,12 +41,13 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
         lines.unpersist()
         return CsvBatch(checks=checks, report=None)
     todo = drop.join(valid, "source_file", "left_semi")
-    report = wh.load(todo, refresh=refresh)
+    report = wh.load(todo, refresh=refresh, invalid=checks.filter(F.col("status") == "invalid"))
     if archive_root:
         (ledger.archive_rows(todo, report.verdicts)
          .write.mode("append").partitionBy("archive_key").option("header", True)
          .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(archive_root))
     checks = checks.checkpoint(eager=True)  # one row per file; keep it, drop the lines
+    report.release()
     lines.unpersist()
     return CsvBatch(checks=checks, report=report)

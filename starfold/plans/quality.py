@@ -124,7 +124,7 @@ def dq_summary(wh: Warehouse) -> DataFrame:
     checks are one-row aggregates in a single union, so the summary is one
     plan and nothing but the catalog listing runs on the driver."""
     spark = wh.spark
-    present_tables = sum(1 for t in REQUIRED_TABLES if t in wh.paths)
+    present_tables = sum(1 for t in REQUIRED_TABLES if wh.paths.get(t) or wh.parts.get(t))
     from .reports import register_views
     register_views(wh)
     views = {t.name for t in spark.catalog.listTables()}

@@ -1,15 +1,22 @@
 """The star schema, its batch load, the monthly rollup and the audit ledger.
 
-Storage is plain Parquet under the shared checkpoint folder.  Dimensions
-are rewritten into a new folder per batch (a version swap - never a path
-that is being read), the fact table is append-only and partitioned by sale
-month, the rollup is replaced whole (full refresh) or month by month
-(incremental refresh), and the ledger is append-only.
+Storage is plain Parquet below one root folder.  Dimensions are rewritten
+into a new folder per batch (a version swap - never a path that is being
+read); the fact table (partitioned by sale month) and the ledger get a new
+folder of rows per batch; the rollup is replaced whole (full refresh) or month
+by month (incremental refresh).
+
+A batch becomes visible at one point: the last thing it writes is a row of
+the ``_commits`` table that names the folders of every table and the ids
+handed out.  ``Warehouse.open`` reads the latest commit, so a batch that
+fails half way leaves nothing but folders that no commit names, and a process
+that starts later goes on where the last one stopped.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -142,62 +149,113 @@ class BatchReport:
     annotated: DataFrame | None = None   # staged typed drop (all rows, flags)
     accepted: DataFrame | None = None    # staged loadable rows of good files
 
+    def release(self) -> None:
+        """Give back the staged batch once nothing reads ``annotated`` or
+        ``accepted`` any more (a job that loads every hour must)."""
+        if self.annotated is not None:
+            self.annotated.unpersist()
+            self.annotated = self.accepted = None
+
 
 class Warehouse:
-    """Current version of each table; every change writes a new folder
-    (dimensions, rollup) or appends new files (fact, ledger)."""
+    """Current version of each table; every change writes new folders, and a
+    commit row names those that count."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, job_id: str = DAG_ID):
         self.spark = spark
-        self.root = root or fresh_path(spark, "warehouse")
-        self.paths: dict[str, str] = {}
-        self.history: dict[str, list[str]] = {}  # earlier versions, kept on disk
-        self.sequences: dict[str, int] = {}       # last id handed out per table
-        self._written: set[str] = set()           # tables with data on storage
-        self._initial: dict[str, DataFrame] = {}  # rows of tables not written yet
+        self.job_id = job_id
+        self.root = (root or fresh_path(spark, "warehouse")).rstrip("/")
+        self.paths: dict[str, str] = {}            # replaced tables: current folder
+        self.parts: dict[str, list[str]] = {"fact_sales": [], "pipeline_runs": []}  # appended tables: a folder per batch
+        self.history: dict[str, list[str]] = {}    # earlier versions, kept on disk
+        self.sequences: dict[str, int] = {}        # last id handed out per table
+        self.commits = 0
+        self.seeded: str | None = None             # when the catalogue was seeded
 
     # -- storage ---------------------------------------------------------
+    def _initial(self, name: str) -> DataFrame:
+        """Rows of a table never written: the seed catalogue, or none."""
+        if name == "dim_products" and self.seeded:
+            return seed_frame(self.spark).withColumn("created_at", F.lit(self.seeded).cast("timestamp"))
+        return self.spark.createDataFrame([], SCHEMAS[name])
+
     def table(self, name: str) -> DataFrame:
         """Current version; a table never written yet reads as its initial
-        rows (empty, or the seed catalogue) without touching storage."""
-        if name not in self._written:
-            return self._initial.get(name) or self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.paths[name])
+        rows without touching storage."""
+        if self.parts.get(name):
+            return self._read_parts(name, self.parts[name])
+        if self.paths.get(name):
+            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{self.paths[name]}")
+        return self._initial(name)
+
+    def _read_parts(self, name: str, parts: list[str]) -> DataFrame:
+        reader = self.spark.read.schema(SCHEMAS[name]).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*[f"{self.root}/{p}" for p in parts]).select(*SCHEMAS[name].fieldNames())
 
     def _replace(self, name: str, df: DataFrame) -> None:
-        path = f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
-        df.select(*SCHEMAS[name].fieldNames()).write.mode("error").parquet(path)
+        path = f"{name}/v-{uuid.uuid4().hex[:12]}"
+        df.select(*SCHEMAS[name].fieldNames()).write.mode("error").parquet(f"{self.root}/{path}")
         # earlier version (None = the initial rows) stays readable
-        self.history.setdefault(name, []).append(self.paths.get(name) if name in self._written else None)
+        self.history.setdefault(name, []).append(self.paths.get(name))
         self.paths[name] = path
-        self._written.add(name)
 
     def version(self, name: str, index: int) -> DataFrame:
         """An earlier version of a replaced table (0 = first)."""
         path = self.history[name][index]
         if path is None:
-            return self._initial.get(name) or self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
+            return self._initial(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{path}")
 
-    def _append(self, name: str, df: DataFrame, partition: str | None = None) -> None:
-        w = df.select(*SCHEMAS[name].fieldNames()).write.mode("append")
+    def _append(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        """Write the batch's rows as a folder of their own; returns them as stored."""
+        path = f"{name}/batch=b{uuid.uuid4().hex[:12]}"
+        w = df.select(*SCHEMAS[name].fieldNames()).write.mode("error")
         if partition:
             w = w.partitionBy(partition)
-        w.parquet(self.paths[name])
-        self._written.add(name)
+        w.parquet(f"{self.root}/{path}")
+        self.parts[name] = [*self.parts[name], path]
+        return self._read_parts(name, [path])
+
+    def compact(self) -> None:
+        """Rewrite each appended table's batch folders as one, and commit."""
+        for name, partition in (("fact_sales", "sale_month"), ("pipeline_runs", None)):
+            if len(self.parts[name]) > 1:
+                rows = self.table(name)
+                self.parts[name] = []
+                self._append(name, rows.hint("rebalance", partition) if partition else rows, partition)
+        self._commit()
+
+    def _state(self) -> dict:
+        return {"paths": dict(self.paths), "parts": {k: list(v) for k, v in self.parts.items()},
+                "history": {k: list(v) for k, v in self.history.items()}, "sequences": dict(self.sequences), "seeded": self.seeded}
+
+    def _restore(self, state: dict) -> None:
+        self.paths, self.parts, self.history, self.sequences = (state[k] for k in ("paths", "parts", "history", "sequences"))
+        self.seeded = state["seeded"]
+
+    def _commit(self) -> None:
+        """One row in one file: it is there whole or not at all."""
+        self.commits += 1
+        row = [(self.commits, json.dumps(self._state()))]
+        self.spark.createDataFrame(row, "commit long, state string").coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
 
     @classmethod
-    def create(cls, spark: SparkSession, seed: bool = True, root: str | None = None) -> "Warehouse":
-        """A new, empty warehouse.  Nothing is written until the first load:
-        the append-only tables get fixed folders, and the product dimension
-        starts as the seed catalogue (an insert-ignore into an empty table)."""
-        wh = cls(spark, root)
-        wh.paths["fact_sales"] = f"{wh.root}/fact_sales"
-        wh.paths["pipeline_runs"] = f"{wh.root}/pipeline_runs"
+    def create(cls, spark: SparkSession, seed: bool = True, root: str | None = None, job_id: str = DAG_ID) -> "Warehouse":
+        """A new, empty warehouse.  Nothing is written until the first load;
+        the product dimension starts as the seed catalogue (an insert-ignore
+        into an empty table).  Name a ``root`` to open it again later."""
+        wh = cls(spark, root, job_id)
         if seed:
-            created = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            wh._initial["dim_products"] = seed_frame(spark).withColumn(
-                "created_at", F.lit(created).cast("timestamp"))
+            wh.seeded = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+        return wh
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, job_id: str = DAG_ID) -> "Warehouse":
+        """The warehouse below ``root`` as of its last commit."""
+        wh = cls(spark, root, job_id)
+        last = spark.read.parquet(f"{wh.root}/_commits").orderBy(F.desc("commit")).first()
+        wh._restore(json.loads(last["state"]))
+        wh.commits = last["commit"]
         return wh
 
     # -- the batch -------------------------------------------------------
@@ -208,13 +266,27 @@ class Warehouse:
         return self.sequences[table]
 
     def load(self, raw: DataFrame, refresh: str = "incremental",
-             valid_files: DataFrame | None = None) -> BatchReport:
+             valid_files: DataFrame | None = None, invalid: DataFrame | None = None) -> BatchReport:
+        """Load a drop as one commit: if any step fails, the warehouse stays
+        as it was (see ``_load`` for the arguments)."""
+        before = self._state()
+        try:
+            report = self._load(raw, refresh, valid_files, invalid)
+            self._commit()
+        except BaseException:
+            self._restore(before)
+            raise
+        return report
+
+    def _load(self, raw: DataFrame, refresh: str, valid_files: DataFrame | None, invalid: DataFrame | None) -> BatchReport:
         """Clean, judge files, upsert dims, insert-ignore facts, log, refresh.
 
         ``raw``: a drop (13 string columns, source_file, _arrival).
         ``valid_files``: files that passed structural validation; default
         is every file present in ``raw``.
         ``refresh``: "incremental" (touched months), "full", or "none".
+        ``invalid``: (source_file, reason) of files that failed structural
+        validation; they get a ledger row with status ``invalid``.
 
         The drop must not read this warehouse's tables (cut its lineage
         first, as ``run_csv_batch`` does): Spark re-caches plans reading a
@@ -264,25 +336,25 @@ class Warehouse:
         n_new = n_inserted[0]
         inserted = inserted.select(*SCHEMAS["fact_sales"].fieldNames())
         # Rebalance by month: few files per month, and AQE splits a hot month.
-        self._append("fact_sales", inserted.hint("rebalance", "sale_month"), partition="sale_month")
+        new_facts = self._append("fact_sales", inserted.hint("rebalance", "sale_month"), partition="sale_month")
 
-        loaded = inserted.groupBy("source_file").agg(F.count(F.lit(1)).cast("int").alias("rows_loaded"))
+        loaded = new_facts.groupBy("source_file").agg(F.count(F.lit(1)).cast("int").alias("rows_loaded"))
         self.sequences["fact_sales"] = base + n_new
         runs = (verdicts.join(loaded, "source_file", "left")
-                .select(F.lit(DAG_ID).alias("dag_id"), now.alias("run_date"), "source_file",
+                .select(F.lit(self.job_id).alias("dag_id"), now.alias("run_date"), "source_file",
                         F.when(F.col("status") == "success", F.coalesce("rows_loaded", F.lit(0)))
                         .otherwise(F.lit(0)).alias("rows_loaded"),
                         "status", F.col("error").alias("error_message"),
                         F.col("source_file").alias("_order")))
+        if invalid is not None:
+            runs = runs.unionByName(invalid.select(
+                F.lit(self.job_id).alias("dag_id"), now.alias("run_date"), "source_file", F.lit(0).alias("rows_loaded"),
+                F.lit("invalid").alias("status"), F.col("reason").alias("error_message"), F.col("source_file").alias("_order")))
         run_base = self.next_id_base("pipeline_runs", "run_id")
         n_runs: list[int] = []
         runs = assign_ids(runs, "run_id", run_base, order="_order", cached=cached, counted=n_runs)
-        self._append("pipeline_runs", runs)
+        runs = self._append("pipeline_runs", runs)
         self.sequences["pipeline_runs"] = run_base + n_runs[0]
-        runs = self.table("pipeline_runs").filter(F.col("run_id") > run_base)
-        # this batch's facts, read back from the table (sale ids are dense)
-        new_facts = self.table("fact_sales").filter(
-            (F.col("sale_id") > base) & (F.col("sale_id") <= base + n_new))
 
         report = BatchReport(verdicts=verdicts, new_facts=new_facts, runs=runs,
                              annotated=ann, accepted=good)

@@ -2,7 +2,7 @@
 
 Reading is one distributed text scan of ``<root>/**/*.csv``:
 
-* per file, the header is the first line (smallest ``(block start, row id)``)
+* per file, the header is the first non-blank line (smallest ``(block start, row id)``)
   and the line count comes from the same grouped aggregate - no driver loop
   over files and no second read for validation;
 * each record line is parsed with the built-in ``from_csv`` into positional
@@ -26,6 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import NA_TOKENS, date_format_of
 from .sales_drop import REQUIRED_COLUMNS
 
 # quotes doubled inside quoted fields; values kept byte for byte (Spark's
@@ -51,6 +52,12 @@ def with_fields(df: DataFrame, col: str, width: int, out: str = "_f") -> DataFra
     return parsed.withColumn(out, F.array(*[F.col(f"_parsed.f{i}") for i in range(width)])).drop("_parsed")
 
 
+def field_count(line: str) -> F.Column:
+    """Fields of a CSV line, empty ones included: separators outside quotes plus one."""
+    bare = F.when(F.contains(F.col(line), F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(F.col(line))
+    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def _headers(lines: DataFrame) -> DataFrame:
     return lines.groupBy("source_file").agg(
         F.min_by("value", "_pos").alias("header"), F.min("_pos").alias("_first"),
@@ -58,72 +65,91 @@ def _headers(lines: DataFrame) -> DataFrame:
 
 
 def parse_width(headers: DataFrame) -> int:
-    """Fields to parse per line: one more than the widest header (its comma
-    count bounds its field count), so a surplus field is always seen.  One
+    """Fields to parse per line: as many as the widest header has.  One
     number from a one-row-per-file table; no fixed cap."""
-    widest = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0]
-    return int(widest or 0) + 1
+    widest = headers.agg(F.max(field_count("header"))).first()[0]
+    return max(1, int(widest or 0))
 
 
-def scan_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Every line of every ``*.csv`` below ``root`` with lineage and order."""
+def text_lines(text: DataFrame, root: str) -> DataFrame:
+    """The non-blank lines of a text scan (batch or micro-batch) with lineage
+    and order.  ``text``: value, _path, _block."""
     prefix = re.escape(_uri_path(root))
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-             .text(root)
-             .select("value", F.col("_metadata.file_path").alias("_path"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_row")))
     rel = F.regexp_extract(F.col("_path"), f"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?/*{prefix.lstrip('/')}/(.*)$", 1)
-    return lines.withColumn("source_file", rel).withColumn("_pos", F.struct("_block", "_row"))
+    lines = text.withColumn("_row", F.monotonically_increasing_id()).withColumn("source_file", rel)
+    lines = lines.withColumn("_pos", F.struct("_block", "_row"))
+    return lines.filter(~F.col("value").isin("", "\r"))
+
+
+def scan_lines(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
+    """Every non-blank line of every ``*.csv`` below ``root`` with lineage and order.
+
+    ``multi_line``: records may hold line breaks inside quotes.  Each file is
+    then read whole by one task and cut into records there, so use it for
+    drops of many files, not for one huge file."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    if not multi_line:
+        return text_lines(reader.text(root).select(
+            "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")), root)
+    # an even number of quotes follows a line break that ends a record
+    whole = reader.text(root, wholetext=True).select(
+        F.split(F.rtrim("value", F.lit("\r\n")), '\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)').alias("rows"), F.col("_metadata.file_path").alias("_path"))
+    return text_lines(whole.select(F.posexplode("rows").alias("_at", "value"), "_path").select(
+        "value", "_path", F.col("_at").cast("long").alias("_block")), root)
 
 
 def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None = None) -> DataFrame:
-    """One row per file: header, records, missing columns, ragged, verdict."""
+    """One row per file: header, records, missing columns, ragged, verdict,
+    and the date format that the file's first date shows.  ``columns`` keeps
+    the position of every header field, an unnamed one as NULL."""
     per_file = _headers(lines)
     width = width or parse_width(per_file)
-    header_cols = F.filter(F.col("_h"), lambda x: x.isNotNull())
     req = F.array(*[F.lit(c) for c in required])
-    checks = with_fields(per_file, "header", width, "_h").select(
-        "source_file", "header", "_first",
-        header_cols.alias("columns"),
+    named = with_fields(per_file, "header", width, "_h").withColumn("columns", F.slice("_h", 1, field_count("header")))
+    checks = named.select(
+        "source_file", "header", "_first", "columns",
         (F.col("_lines") - 1).alias("n_records"),
-        F.array_sort(F.array_except(req, header_cols)).alias("missing_columns"))
-    # records wider than their header (a surplus non-empty field)
-    recs = lines.join(checks.select("source_file", "_first", F.size("columns").alias("_width")), "source_file")
-    ragged = (with_fields(recs.filter(F.col("_pos") != F.col("_first")), "value", width)
-              .groupBy("source_file")
-              .agg(F.bool_or(F.exists(F.slice("_f", F.col("_width") + 1, width),
-                                      lambda x: x.isNotNull())).alias("ragged")))
-    out = checks.join(ragged, "source_file", "left").fillna(False, subset=["ragged"])
+        F.array_sort(F.array_except(req, "columns")).alias("missing_columns"))
+    # records wider than their header, a surplus empty field included
+    recs = lines.join(checks.select("source_file", "_first", F.size("columns").alias("_width"),
+                                    F.array_position("columns", "sale_date").cast("int").alias("_date_at")), "source_file")
+    recs = with_fields(recs.filter(F.col("_pos") != F.col("_first")), "value", width)
+    date = F.get("_f", F.col("_date_at") - 1)
+    per_record = recs.select("source_file", (field_count("value") > F.col("_width")).alias("_wide"),
+                             F.when(date.isNotNull() & ~date.isin(*NA_TOKENS), F.struct("_pos", date.alias("date"))).alias("_dated"))
+    found = per_record.groupBy("source_file").agg(F.bool_or("_wide").alias("ragged"), F.min("_dated")["date"].alias("_date"))
+    out = checks.join(found, "source_file", "left").fillna(False, subset=["ragged"])
     reason = (F.when(F.size("missing_columns") > 0,
                      F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", ")))
               .when(F.col("n_records") == 0, F.lit("file is empty"))
               .when(F.col("ragged"), F.lit("record wider than header")))
     return out.select("source_file", "header", "_first", "columns", "n_records", "missing_columns", "ragged",
                       F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("invalid")).alias("status"),
-                      reason.alias("reason"))
+                      reason.alias("reason"), date_format_of(F.col("_date")).alias("date_format"))
 
 
 def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_COLUMNS,
             only_valid: bool = True) -> DataFrame:
-    """The drop: required columns picked by header name, plus lineage."""
+    """The drop: required columns picked by header name, plus lineage and the
+    file's date format."""
     hdr = checks
     if only_valid:
         hdr = hdr.filter(F.col("status") == "valid")
     # one row per file: AQE broadcasts it unless the file count is huge
-    rows = lines.join(hdr.select("source_file", "_first", "columns"), "source_file")
+    rows = lines.join(hdr.select("source_file", "_first", "columns", "date_format"), "source_file")
     rows = with_fields(rows.filter(F.col("_pos") != F.col("_first")), "value", width)
     picked = [F.get(F.col("_f"), F.array_position("columns", c).cast("int") - 1).alias(c) for c in required]
     return rows.select(*picked, "source_file",
-                       F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"))
+                       F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"),
+                       F.col("date_format").alias("_date_format"))
 
 
-def scan_drop(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_drop(spark: SparkSession, root: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lines, drop of valid files, per-file checks) for the CSV files under
     root.  The scanned lines are persisted: the header table, the checks and
     the records all read them, and the row ids that order records are fixed
     once; ``lines.unpersist()`` releases them after the load."""
-    lines = scan_lines(spark, root).persist(StorageLevel.MEMORY_AND_DISK)
+    lines = scan_lines(spark, root, multi_line).persist(StorageLevel.MEMORY_AND_DISK)
     width = parse_width(_headers(lines))
     checks = file_checks(lines, width=width)
     return lines, records(lines, checks, width), checks

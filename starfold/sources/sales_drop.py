@@ -60,22 +60,11 @@ def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("s_suppkey", "r_name"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer input splits than
-    the cluster's parallelism (a few big files or row groups); a large input
-    already has more splits than cores and is left as scanned."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
 def derive_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows as raw sales records (strings) with lineage."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate")
-    li = spread(li)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")

@@ -7,44 +7,29 @@ the same set-based load as the batch path on every micro-batch.  There is no
 watermark: late records are accepted without bound and the incremental
 rollup refresh recomputes every month they touch.
 
-A stream binds one fixed header by position, so it is meant for drops with
-the standard column order; files with other layouts go through the batch
-reader (``sources.csv_drop``), which resolves columns by name.
+The stream carries text lines, so every micro-batch goes through the same
+structural checks and by-name columns as the batch path: a file is the unit of
+a file stream, and all its lines are in one micro-batch.  Invalid files go to
+the ledger with their reason and are not loaded.
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..plans.warehouse import Warehouse
-from ..sources.csv_drop import _uri_path
-from ..sources.sales_drop import REQUIRED_COLUMNS
-
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in REQUIRED_COLUMNS])
+from ..sources.csv_drop import _headers, file_checks, parse_width, records, text_lines
 
 
-def csv_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
-              .option("escape", '"').option("pathGlobFilter", "*.csv"))
+def line_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Arriving CSV files as lines: value, _path, _block."""
+    reader = spark.readStream.option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(raw_glob).select(
-        *REQUIRED_COLUMNS, F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"))
-
-
-def to_drop(batch: DataFrame, root: str) -> DataFrame:
-    """A micro-batch as a drop.  The record id is added here, inside the
-    batch, where a non-streaming plan allows it."""
-    prefix = re.escape(_uri_path(root)).lstrip("/")
-    rel = F.regexp_extract(F.col("_path"), f"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?/*{prefix}/(.*)$", 1)
-    b = batch.withColumn("source_file", rel).withColumn("_row", F.monotonically_increasing_id())
-    return b.select(*REQUIRED_COLUMNS, "source_file",
-                    F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"))
+    return reader.text(raw_glob).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpoint: str,
@@ -53,10 +38,15 @@ def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpo
     epochs: list[int] = []
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        wh.load(to_drop(batch, root), refresh="incremental")
+        # row ids are fixed here, inside the batch, where a non-streaming plan allows them
+        lines = text_lines(batch, root).persist(StorageLevel.MEMORY_AND_DISK)
+        width = parse_width(_headers(lines))
+        checks = file_checks(lines, width=width).checkpoint(eager=True)  # one row per file
+        wh.load(records(lines, checks, width), refresh="incremental", invalid=checks.filter(F.col("status") == "invalid")).release()
+        lines.unpersist()
         epochs.append(epoch_id)
 
-    q = (csv_stream(spark, raw_glob, max_files_per_trigger).writeStream
+    q = (line_stream(spark, raw_glob, max_files_per_trigger).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

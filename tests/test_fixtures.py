@@ -145,7 +145,8 @@ def test_second_batch(loaded):
     runs = {r["source_file"]: (r["status"], r["rows_loaded"]) for r in second.report.runs.collect()}
     # the ledger skips a1/a8 (loaded); failed files are retried
     assert runs == {"raw/b1.csv": ("success", 1), "raw/a2.csv": ("error", 0),
-                    "raw/a3.csv": ("error", 0), "raw/a9.csv": ("error", 0)}
+                    "raw/a3.csv": ("error", 0), "raw/a9.csv": ("error", 0),
+                    **{f"raw/a{i}.csv": ("invalid", 0) for i in (4, 5, 6, 7)}}
 
 
 def test_unsold_product_in_report(loaded):
