@@ -201,7 +201,8 @@ def verify(texts: list[str], blocks: list[int], nodes: list, copies: list[int],
 def true_links(docs: DataFrame, members: DataFrame, text: str, doc_id: str, size: int, threshold: Fraction) -> DataFrame:
     """(node, links, root) from members (node, component, block, blocks, copies)."""
     kind = docs.schema[doc_id].dataType
-    src = docs.select(F.col(doc_id).alias("node"), whole(text).alias("text")).join(members, "node")
+    # by merging at any size: with a broadcast below some size, cost would jump where the members outgrow it
+    src = docs.select(F.col(doc_id).alias("node"), whole(text).alias("text")).join(members.hint("merge"), "node")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     src = src.withColumn("other", other).select("node", "text", "block", "copies", "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     src = src.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "block", "node")
@@ -260,4 +261,4 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """The documents with the smallest doc_id of their class, with all their columns; rows without doc_id stay."""
     gone = classes(docs, text, doc_id, size, threshold).where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct()
     src = docs.select(F.struct("*").alias("row"))
-    return src.join(gone, F.col("row")[doc_id] == F.col("gone"), "left_anti").select(*put(docs, "row"))
+    return src.join(gone.hint("merge"), F.col("row")[doc_id] == F.col("gone"), "left_anti").select(*put(docs, "row"))
