@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_runtime_conf
 from ..sources.sales_drop import derive_drop, split_drop
+from .reports import register_views
 from .warehouse import BatchReport, Warehouse
 
 
@@ -55,7 +56,9 @@ class Run:
     @_once
     def one(self) -> tuple[Warehouse, BatchReport]:
         wh = Warehouse.create(self.spark)
-        return wh, wh.load(self.drop, refresh="full")
+        report = wh.load(self.drop, refresh="full")
+        register_views(wh)
+        return wh, report
 
     @_once
     def two(self) -> tuple[Warehouse, list[BatchReport]]:
