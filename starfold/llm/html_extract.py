@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starfold.llm.tables import loose, stored
+from starfold.llm.tables import stored
 from starfold.llm.text import portions, put, strings, whole
 
 # Names of elements and words of classes.
@@ -42,6 +42,8 @@ TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Levels of nesting that a path tells apart; deeper elements share the path of their ancestor.
 LEVELS = 48
+#: Places in which the tokens of one host meet what is known of the host.
+SALTS = 16
 
 
 @dataclass
@@ -186,7 +188,9 @@ def templates(tokens: DataFrame, support: float = 0.5, least_pages: int = 10) ->
     """(host, main, drop, fixed): for each host with at least ``least_pages`` pages, whether its template has a main element, the
     paths whose slots repeat, and the text runs that the template fixes. tokens: what ``occurrences`` gives, stored."""
     size = tokens.where((F.col("path") == "") & (F.col("run") == 0)).select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= least_pages)
-    own = tokens.join(loose(size), "host").where(F.col("path") != "")
+    # a host with a third of all pages is joined in SALTS places, and grouped by its tokens, never as a whole
+    salted = size.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = tokens.withColumn("salt", F.pmod(F.xxhash64("path", "run"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"]).drop("salt").where(F.col("path") != "")
     # equivalence classes on enough pages, of two tokens or more
     frequent = own.where(F.col("pages") >= support * F.col("host_pages"))
     classes = frequent.groupBy("host", "host_pages", "pages", "total", "vector").agg(F.collect_set(F.struct("path", "run")).alias("members")).where(F.size("members") >= 2)
