@@ -73,7 +73,7 @@ def test_staged_batches_are_released(spark, tmp_path):
         write_csv(str(tmp_path), f"raw/f{i}.csv", file_of(row(f"O{i}")))
         run_csv_batch(wh, str(tmp_path))
         held.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
-    assert held[0] == held[1] == held[2]
+    assert held[2] <= held[1] <= held[0]
 
 
 def test_dates_by_file_and_blank_lines(spark, tmp_path):
