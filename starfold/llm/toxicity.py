@@ -234,12 +234,14 @@ def hardest(clean: DataFrame, weights: np.ndarray, bias: float) -> list[str]:
 
 
 def fit(labelled: DataFrame, most_docs: int = 12_000) -> Model:
-    """labelled: (doc_id, text, toxic). At most ``most_docs`` documents are taken, those with the smallest hashes of
-    doc_id. Without both labels, or without any word that tells them apart, all texts get the same score: the smoothed
-    share of toxic documents."""
-    known = labelled.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("doc_id").alias("h"), F.col("toxic").cast("int").alias("toxic"), whole("text").alias("text"))
-    ids = known.select("doc_id", "h").orderBy("h", "doc_id").limit(most_docs).select("doc_id").distinct()
-    train = known.join(F.broadcast(ids), "doc_id").select("text", "toxic").persist()  # the bound is most_docs ids
+    """labelled: (doc_id, text, toxic). About ``most_docs`` documents are taken, hardly ever more: all of them, or
+    beyond the bound those whose hash of doc_id falls below the share that the bound is of their number. Without both labels, or
+    without any word that tells them apart, all texts get the same score: the smoothed share of toxic documents."""
+    known = labelled.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    n = known.count()
+    share = 1.0 if n <= most_docs else (most_docs - 4 * most_docs**0.5) / n
+    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    train = drawn.select(whole("text").alias("text"), F.col("toxic").cast("int").alias("toxic")).persist()
     totals = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     share = (n1 + 1) / (n1 + n0 + 2)
