@@ -249,7 +249,7 @@ def fit(labelled: DataFrame, most_docs: int = 12_000) -> Model:
     if not n1 or not n0:
         train.unpersist()
         return none
-    counts = word_counts(contexts(train)).persist()
+    counts = word_counts(contexts(train)).coalesce(8).persist()  # words of most_docs documents; each task sends its best to the driver
     totals = counts.where(F.char_length("word") != STEM).agg(F.count("*").alias("words"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
     tried = max(1, totals["words"])
     prior = min(0.9, max(0.01, (totals["n1"] or 0) / max(1, (totals["n1"] or 0) + (totals["n0"] or 0))))
@@ -257,7 +257,9 @@ def fit(labelled: DataFrame, most_docs: int = 12_000) -> Model:
     gain = F.col("n1") * F.log(F.col("n1") / (n * prior)) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / (n * (1 - prior)))).otherwise(0.0)
     toxic = counts.where((F.col("n1") > 0) & (F.col("n0") <= EXCEPTIONS * n)).withColumn("gain", gain).where(F.col("gain") > log(tried / 0.05)).orderBy(F.desc("gain"), "word").limit(WITNESSES).collect()
     clean_words = counts.where(F.col("n0") > 0).where(F.col("n1") <= 2 * n * prior)
-    clean = [r["word"] for r in clean_words.orderBy(F.xxhash64("word")).limit(CLEAN_WORDS).collect()]
+    part = min(1.0, CLEAN_WORDS / max(1, clean_words.count()))
+    drawn = clean_words.select("word", F.xxhash64("word").alias("h")).where(F.pmod("h", F.lit(1 << 40)) < int(part * (1 << 40))).collect()
+    clean = [r["word"] for r in sorted(drawn, key=lambda r: r["h"])]  # about CLEAN_WORDS
     if not toxic or not clean:
         counts.unpersist()
         train.unpersist()
