@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.tables import stored
+from starfold.llm.tables import loose, stored
 from starfold.llm.text import hash_pair, put, whole, words
 
 
@@ -90,13 +90,14 @@ class Index:
         """Exact matches by text: (k1, k2, n_hit, items): words inside any window, and the items with such windows."""
         proposed = stored(intersect(self.index, self.windows), "decontam-proposed")
         by_text = proposed.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "wid", "win")).alias("places"))
-        texts = self.texts.select(*text_key(), "t").join(by_text, ["k1", "k2"])
+        texts = self.texts.select(*text_key(), "t").join(loose(by_text), ["k1", "k2"])
         texts = texts.select("k1", "k2", words("t").alias("w"), "places").select("k1", "k2", "w", "places", F.size("w").alias("n"))
         ok = F.filter("places", lambda p: F.slice(F.col("w"), p["start"] + 1, F.size(p["win"])) == p["win"])
-        true = texts.select("k1", "k2", ok.alias("places")).where(F.size("places") > 0)
+        true = texts.select("k1", "k2", ok.alias("places"))
         inside = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["start"], p["start"] + F.size(p["win"]) - 1))))
         # equal texts give equal rows
-        true = stored(true.select("k1", "k2", F.size(inside).cast("long").alias("n_hit"), F.array_distinct("places.wid").alias("wids")).groupBy("k1", "k2").agg(F.max("n_hit").alias("n_hit"), F.first("wids").alias("wids")), "decontam-true")
+        true = true.select("k1", "k2", F.size(inside).cast("long").alias("n_hit"), F.array_distinct("places.wid").alias("wids")).groupBy("k1", "k2").agg(F.max("n_hit").alias("n_hit"), F.first("wids").alias("wids"))
+        true = stored(true, "decontam-true").where(F.col("n_hit") > 0)  # a filter above would split the text anew for each place
         named = true.select("k1", "k2", F.explode("wids").alias("wid")).join(self.held.select("wid", "item_id"), "wid").groupBy("k1", "k2").agg(F.collect_set("item_id").alias("items"))
         return true.select("k1", "k2", "n_hit").join(named, ["k1", "k2"], "left")
 
@@ -112,7 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_te
     """
     hits = Index(docs, items, text, item_text, item_id, size).phrases()
     src = docs.select(F.struct("*").alias("row")).select("row", whole(F.col("row")[text]).alias("t")).select("row", *text_key(), F.size(words("t")).cast("long").alias("n"))
-    out = src.join(hits, ["k1", "k2"], "left")
+    out = src.join(loose(hits), ["k1", "k2"], "left")
     none = F.array().cast(f"array<{items.schema[item_id].dataType.simpleString()}>")
     n_hit, ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", none)
     return out.select(*put(docs, "row", n_words=F.col("n"), n_hit=n_hit, items=ids, n_items=F.size(ids).cast("long"), contaminated=n_hit > 0))
