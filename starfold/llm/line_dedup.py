@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.tables import loose
 from starfold.llm.text import BLANKS, ascii_lower, hash_pair, put, whole
 
 #: Places in which the documents of one line are joined.
@@ -51,7 +52,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     drops = dropped_positions(docs, text, doc_id, min_chars, min_docs)
     src = docs.select(F.struct("*").alias("row"))
     src = src.select("row", F.col("row")[doc_id].alias("left_d"), F.xxhash64(whole(F.col("row")[text])).alias("left_k"))
-    found = src.join(drops, F.col("left_d").eqNullSafe(F.col("d")) & (F.col("left_k") == F.col("k")), "left")
+    found = src.join(loose(drops), F.col("left_d").eqNullSafe(F.col("d")) & (F.col("left_k") == F.col("k")), "left")
     found = found.select("row", "drop", F.split(whole(F.col("row")[text]), "\n").alias("lines")).select("row", "drop", "lines", F.size("lines").alias("n"))
     rest = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), F.col("drop"))
     kept = F.when(F.col("drop").isNull(), whole(F.col("row")[text])).otherwise(F.array_join(F.transform(rest, lambda i: F.col("lines")[i]), "\n"))
