@@ -211,7 +211,7 @@ def main_text(source: str, host_main: bool, drop: frozenset[str], fixed: frozens
     """The blocks of the article, one to a line."""
     blocks = [b for b in parse(source).blocks if not b[2]]
     inside = [b for b in blocks if b[1]]
-    if inside or host_main:  # nothing of an article is left out for repeating
+    if inside:  # nothing of an article is left out for repeating
         return "\n".join(b[3] for b in inside)
     return "\n".join(b[3] for b in blocks if b[0] not in drop and not (fixed and run_hash(b[3]) in fixed))
 

@@ -134,3 +134,11 @@ def test_extract_gives_the_documents_back(spark):
         text = docs.get(int(re.search(r"/(\d+)", r["url"][9:])[1]))
         if text is not None:
             assert r["text"].split("\n")[1:] == [x for x in (" ".join(line.split()) for line in text.split("\n")) if x]
+
+
+def test_a_host_with_two_layouts(spark):
+    """Pages without a main element keep their text on a host whose template has one."""
+    other = "<html><body><div class='content'><p>Words {n} of the other layout.</p></div></body></html>"
+    rows = [(i, f"http://two.example/{i}", PAGE.format(n=i, ad="x") if i < 18 else other.format(n=i)) for i in range(30)]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: WANT.format(n=i) if i < 18 else f"Words {i} of the other layout." for i in range(30)}
