@@ -33,7 +33,10 @@ RAW = frozenset("script style textarea title noscript iframe template svg math s
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br".split())
 MAIN = frozenset(["article", "main"])
 APART = frozenset("head nav header footer aside form script style noscript iframe template svg math select textarea button menu dialog title object canvas audio video".split())
+HEADER = frozenset(["header"])
 APART_WORDS = frozenset("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related respond share sharing sidebar social sponsored subscribe toolbar widget".split())
+#: What may stand beside such a word in the name of one class: "site-footer" is a footer, "has-sidebar" no sidebar.
+BESIDE = frozenset("area bar block bottom box container global inner item left list main outer right section site top wrap wrapper".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: What an opening tag ends if it is open.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -55,23 +58,32 @@ class Page:
 
 
 def _named(attributes: str) -> tuple[str, list[str]]:
-    """The class names for a path, digits left out, and the words of class, id and role."""
+    """The class names for a path, digits left out, and the names in class, id and role, each in its words."""
     if "=" not in attributes:
         return "", []
-    path, words = "", []
+    path, names = "", []
     for kind, *values in NAMES.findall(attributes):
         value = "".join(values).lower()
-        words += re.findall(r"[a-z]+", value)
+        names += [words for name in value.split() if (words := re.findall(r"[a-z]+", name))]
         if kind.lower() == "class":
             path = "." + ".".join(sorted(re.sub(r"\d+", "", value).split()))
-    return path, words
+    return path, names
+
+
+def _speaks(names: list[list[str]], words: frozenset[str]) -> bool:
+    """Whether a whole name, not just a part of it, says one of the words."""
+    return any(not words.isdisjoint(name) and all(w in words or w in BESIDE for w in name) for name in names)
 
 
 def parse(source: str) -> Page:
     """Tags and blocks of a page. Broken markup is read as far as it can be: open elements end with their parent, an
-    unfinished tag at the end is markup."""
+    unfinished tag at the end is markup.
+
+    Names of classes never set html or body apart, nor what holds the main element: if all main elements are apart by names (or
+    in a form) alone and hold more text than the rest of the page, they aren't apart."""
     page = Page()
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, in main, apart
+    # name, path, in main, apart: 1 by a name or a form outside of main elements, 2 otherwise
+    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
     run: list[str] = []
     place = stack[0]
     at, end = 0, len(source)
@@ -115,7 +127,7 @@ def parse(source: str) -> Page:
                     flush()
                     end_of(name)
                 continue
-            if name in VOID or not APART_WORDS.intersection(_named(attributes)[1]):
+            if name in VOID or not _speaks(_named(attributes)[1], APART_WORDS):
                 continue
         flush()
         if closing:
@@ -127,10 +139,14 @@ def parse(source: str) -> Page:
         for other in ENDS.get(name, ()):
             if stack[-1][0] == other:
                 end_of(other)
-        classes, words = _named(attributes)
+        classes, names = _named(attributes)
         parent = stack[-1]
-        main = parent[2] or name in MAIN or "main" in words and name in ("div", "section")
-        apart = parent[3] or (name in APART and not (name == "header" and parent[2])) or bool(APART_WORDS.intersection(words)) or ("header" in words and not parent[2])
+        named = name not in ("html", "body") and (_speaks(names, APART_WORDS) or (not parent[2] and _speaks(names, HEADER)))
+        main = parent[2] or name in MAIN or (name in ("div", "section") and (["main"] in names or (not named and any("main" in x for x in names))))
+        if parent[3] == 2 or (name in APART and not (name == "header" and parent[2]) and (name != "form" or parent[2])):
+            apart = 2
+        else:
+            apart = 2 if named and parent[2] else 1 if named or name == "form" else parent[3]
         path = f"{parent[1]}/{name}{classes}" if len(stack) <= LEVELS else parent[1]
         count(path)
         if name in RAW and not attributes.endswith("/"):
@@ -140,6 +156,9 @@ def parse(source: str) -> Page:
         elif name not in VOID and not attributes.endswith("/"):
             stack.append((name, path, main, apart))
     flush()
+    held = sum(len(b[3]) for b in page.blocks if b[1] and b[2] == 1)
+    free = held and not any(b[1] and not b[2] for b in page.blocks) and held > sum(len(b[3]) for b in page.blocks if not b[2])
+    page.blocks = [(path, main, bool(apart) and not (free and main and apart == 1), text) for path, main, apart, text in page.blocks]
     return page
 
 

@@ -142,3 +142,14 @@ def test_a_host_with_two_layouts(spark):
     rows = [(i, f"http://two.example/{i}", PAGE.format(n=i, ad="x") if i < 18 else other.format(n=i)) for i in range(30)]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == {i: WANT.format(n=i) if i < 18 else f"Words {i} of the other layout." for i in range(30)}
+
+
+@pytest.mark.parametrize("source", [
+    "<body class='single has-sidebar'><article>{}</article></body>", "<article class='post comments-open'>{}</article>", "<div id='main' class='with-sidebar'>{}</div>", "<html class='no-cookie'><body><main>{}</main>",
+    "<html class='cookie'><body class='sidebar nav'><p>{}</p>", "<div class='sidebar'><article>{}</article></div>", "<section class='header'><main>{}</main></section>", "<article class='widget'>{}</article>",
+    "<form id='page'><main>{}</main></form>", "<div class='header-image'>{}</div>", "<p class='adaptive non-ad'>{}</p>",
+    "<body class='has-sidebar'><article>{}<div class='site-footer'>no</div><article class='comment'>no</article></article><div class='related'><article>no, though it is much longer than the article</article></div>",
+    "<p>{}</p><div class='widget-12'><article>no</article></div><div class='cookie-banner'>no</div><div class='main-menu'>no</div><aside class='x'><article>no, though it is much longer than the article</article></aside>",
+])
+def test_names_that_set_nothing_apart(source):
+    assert main_text(source.format("The text itself."), False, frozenset(), frozenset()) == "The text itself."
