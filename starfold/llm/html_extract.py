@@ -162,6 +162,20 @@ def parse(source: str) -> Page:
     return page
 
 
+def content_of(page: Page) -> int:
+    """What copies of a page share, whatever small texts change around it: a hash of the longest runs that make up three quarters of the text."""
+    import xxhash
+
+    runs = sorted((b[3] for b in page.blocks if not b[2]), key=lambda x: (-len(x), x))
+    left, held = 0.75 * sum(map(len, runs)), xxhash.xxh3_64()
+    for text in runs:
+        if left <= 0:
+            break
+        left -= len(text)
+        held.update(text + "\n")
+    return held.intdigest() >> 1
+
+
 def run_hash(text: str) -> int:
     import xxhash
 
@@ -174,54 +188,59 @@ def host_of(url: Column) -> Column:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, path, run, pages, total, vector): each token's occurrence vector; run is 0 for tags. pages: (host, name, html),
-    name being what tells pages apart. Tokens are counted for a batch of pages before Spark adds up the batches."""
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("run", "pages", "total", "vector"))])
+    """(host, path, run, pages, total, vector, contents): each token's occurrence vector; run is 0 for tags. pages: (host, name,
+    html), name being what tells pages apart. contents is the number of different contents of the pages with the run (of all
+    pages, for the path ""; 1 for tags): copies of a page repeat its article, and only other pages show what is template.
+    Tokens are counted for a batch of pages before Spark adds up the batches."""
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("run", "content", "pages", "total", "vector"))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in portions(batches, "html"):
-            held: dict[tuple[str, str, int], list[int]] = {}
+            held: dict[tuple[str, str, int, int], list[int]] = {}
             for host, name, source in zip(batch.column("host").to_pylist(), batch.column("name").to_pylist(), strings(batch.column("html")), strict=True):
                 page = parse(source)
-                counts = {(host, "", 0): 1} | {(host, path, 0): n for path, n in page.tags.items()}
+                content = content_of(page)
+                counts = {(host, "", 0, content): 1} | {(host, path, 0, 0): n for path, n in page.tags.items()}
                 for path, _, apart, text in page.blocks:
                     if not apart:
-                        key = (host, path, run_hash(text))
+                        key = (host, path, run_hash(text), content)
                         counts[key] = counts.get(key, 0) + 1
                 for key, n in counts.items():
                     row = held.setdefault(key, [0, 0, 0])
                     row[0] += 1
                     row[1] += n
                     row[2] ^= xxhash.xxh3_64_intdigest(f"{name} {n}") >> 1
-            columns = [list(c) for c in zip(*held, strict=True)] + [list(c) for c in zip(*held.values(), strict=True)] if held else [[]] * 6
-            kinds = [pa.string(), pa.string(), *[pa.int64()] * 4]
+            columns = [list(c) for c in zip(*held, strict=True)] + [list(c) for c in zip(*held.values(), strict=True)] if held else [[]] * 7
+            kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.names)
 
     counted = pages.mapInArrow(run, schema)
-    return counted.groupBy("host", "path", "run").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.bit_xor("vector").alias("vector"))
+    added = [F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.bit_xor("vector").alias("vector")]
+    return counted.groupBy("host", "path", "run", "content").agg(*added).groupBy("host", "path", "run").agg(*added, F.count("*").alias("contents"))
 
 
 def templates(tokens: DataFrame, support: float = 0.5, least_pages: int = 10) -> DataFrame:
-    """(host, main, drop, fixed): for each host with at least ``least_pages`` pages, whether its template has a main element, the
-    paths whose slots repeat, and the text runs that the template fixes. tokens: what ``occurrences`` gives, stored."""
-    size = tokens.where((F.col("path") == "") & (F.col("run") == 0)).select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= least_pages)
+    """(host, main, drop, fixed): for each host with pages of at least ``least_pages`` different contents, whether its template has
+    a main element, the paths whose slots repeat on pages that differ, and the text runs that the template fixes. tokens: what
+    ``occurrences`` gives, stored."""
+    size = tokens.where((F.col("path") == "") & (F.col("run") == 0)).select("host", F.col("pages").alias("host_pages"), F.col("contents").alias("host_contents")).where(F.col("host_contents") >= least_pages)
     # a host with a third of all pages is joined in SALTS places, and grouped by its tokens, never as a whole
     salted = size.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = tokens.withColumn("salt", F.pmod(F.xxhash64("path", "run"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"]).drop("salt").where(F.col("path") != "")
     # equivalence classes on enough pages, of two tokens or more
     frequent = own.where(F.col("pages") >= support * F.col("host_pages"))
-    classes = frequent.groupBy("host", "host_pages", "pages", "total", "vector").agg(F.collect_set(F.struct("path", "run")).alias("members")).where(F.size("members") >= 2)
-    members = classes.select("host", "host_pages", "pages", F.explode("members").alias("m")).select("host", "host_pages", "pages", F.col("m.path").alias("path"), F.col("m.run").alias("run"))
+    classes = frequent.groupBy("host", "host_pages", "host_contents", "pages", "total", "vector").agg(F.collect_set(F.struct("path", "run", "contents")).alias("members")).where(F.size("members") >= 2)
+    members = classes.select("host", "host_contents", "pages", F.explode("members").alias("m")).select("host", "host_contents", "pages", "m.path", "m.run", "m.contents")
     tags = members.where(F.col("run") == 0).select("host", F.regexp_replace("path", "/$", "").alias("path"), "pages").groupBy("host", "path").agg(F.max("pages").alias("pages"))
     # a class is nested into the template if its parent's path is there, on as many pages at least
     parent = tags.select("host", F.col("path").alias("parent"), F.col("pages").alias("parent_pages"))
     up = F.regexp_replace("path", "/[^/]*$", "")
     nested = tags.withColumn("parent", up).join(parent, ["host", "parent"], "left").where((F.col("parent") == "") | (F.col("parent_pages") >= F.col("pages")))
     has_main = nested.where(F.col("path").rlike(r"(^|/)(article|main)[^/]*$")).select("host").distinct().withColumn("main", F.lit(True))
-    fixed = members.where((F.col("run") != 0) & (F.col("pages") >= 0.9 * F.col("host_pages")) & (F.col("host_pages") >= 2 * least_pages)).groupBy("host").agg(F.collect_set("run").alias("fixed"))
-    runs = own.where(F.col("run") != 0).groupBy("host", "path").agg(F.sum("total").alias("n"), F.sum(F.when(F.col("pages") >= F.greatest(F.lit(3), 0.02 * F.col("host_pages")), F.col("total")).otherwise(0)).alias("again"))
+    fixed = members.where((F.col("run") != 0) & (F.col("contents") >= 0.9 * F.col("host_contents")) & (F.col("host_contents") >= 2 * least_pages)).groupBy("host").agg(F.collect_set("run").alias("fixed"))
+    runs = own.where(F.col("run") != 0).groupBy("host", "path").agg(F.sum("contents").alias("n"), F.sum(F.when(F.col("contents") >= F.greatest(F.lit(3), 0.02 * F.col("host_contents")), F.col("contents")).otherwise(0)).alias("again"))
     drop = runs.where(F.col("again") > 0.5 * F.col("n")).groupBy("host").agg(F.collect_set("path").alias("drop"))
     return size.select("host").join(has_main, "host", "left").join(drop, "host", "left").join(fixed, "host", "left")
 
@@ -239,7 +258,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     """The pages with text (the main text, empty if there is none) and n_chars (its code points).
 
     Defined cases: a null or empty page gives the empty text; a page without url belongs to the empty host; a host of
-    under ten pages has no template, and its pages go by their elements alone; repeated pages count as pages each;
+    under ten different pages has no template, and its pages go by their elements alone; copies of a page show no repetition;
     pages are read whole; columns named text or n_chars are replaced.
     """
     src = pages.select(F.struct("*").alias("row")).select("row", host_of(F.col("row")[url]).alias("host"), whole(F.col("row")[html]).alias("html"))

@@ -153,3 +153,15 @@ def test_a_host_with_two_layouts(spark):
 ])
 def test_names_that_set_nothing_apart(source):
     assert main_text(source.format("The text itself."), False, frozenset(), frozenset()) == "The text itself."
+
+
+def test_copied_pages_are_no_template(spark):
+    """Articles that are copied to many pages of a host without main elements stay, and what repeats on different pages goes."""
+    plain = "<html><body><div>Seen {k} times</div><p>Article {n} begins, as long as an article is.</p><p>And article {n} ends, some way on.</p><footer>f</footer><div class='z'>Made by us</div></body></html>"
+    groups = [0] * 60 + [n for n in range(1, 11) for _ in range(4)] + list(range(11, 41))
+    rows = [(i, f"http://copies.example/{i}", plain.format(n=n, k=i % 5)) for i, n in enumerate(groups)]
+    rows += [(1000 + i, f"http://one.example/{i}", plain.format(n=7, k=i)) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = "Article {n} begins, as long as an article is.\nAnd article {n} ends, some way on."
+    assert {i: got[i] for i in range(len(groups))} == {i: want.format(n=n) for i, n in enumerate(groups)}
+    assert all(want.format(n=7) in got[1000 + i] for i in range(40))
