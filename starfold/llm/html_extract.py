@@ -7,9 +7,8 @@ however many pages it has. Tokens with equal vectors are an equivalence class. A
 whose paths hang below paths of the template is nested into it. Text runs of the template are its fixed
 words; the other places of text are slots.
 
-From a page, the slots remain that hold the article: those below a main element where the template (or, on a host of few
-pages, the page) has one, else those whose runs don't repeat from page to page. Menus, headers, footers, sidebars, notices,
-adverts, forms and comments go by the names of their elements, and by repeating.
+From a page, the slots remain whose runs don't repeat from page to page, of those below a main element if the page has one.
+Menus, headers, footers, sidebars, notices, adverts, forms and comments go by the names of their elements, and by repeating.
 """
 
 from __future__ import annotations
@@ -45,6 +44,8 @@ TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Levels of nesting that a path tells apart; deeper elements share the path of their ancestor.
 LEVELS = 48
+#: Paths below a main element.
+IN_MAIN = r"/(article|main)([./]|$)"
 #: Places in which the tokens of one host meet what is known of the host.
 SALTS = 16
 
@@ -241,16 +242,20 @@ def templates(tokens: DataFrame, support: float = 0.5, least_pages: int = 10) ->
     has_main = nested.where(F.col("path").rlike(r"(^|/)(article|main)[^/]*$")).select("host").distinct().withColumn("main", F.lit(True))
     fixed = members.where((F.col("run") != 0) & (F.col("contents") >= 0.9 * F.col("host_contents")) & (F.col("host_contents") >= 2 * least_pages)).groupBy("host").agg(F.collect_set("run").alias("fixed"))
     runs = own.where(F.col("run") != 0).groupBy("host", "path").agg(F.sum("contents").alias("n"), F.sum(F.when(F.col("contents") >= F.greatest(F.lit(3), 0.02 * F.col("host_contents")), F.col("contents")).otherwise(0)).alias("again"))
-    drop = runs.where(F.col("again") > 0.5 * F.col("n")).groupBy("host").agg(F.collect_set("path").alias("drop"))
+    again = runs.where(F.col("again") > 0.5 * F.col("n")).select("host", "path")
+    # below a main element only classes nested into the template are dropped, not what some pages have
+    inner = again.where(F.col("path").rlike(IN_MAIN)).join(nested.select("host", "path"), ["host", "path"], "left_semi")
+    drop = again.where(~F.col("path").rlike(IN_MAIN)).unionByName(inner).groupBy("host").agg(F.collect_set("path").alias("drop"))
     return size.select("host").join(has_main, "host", "left").join(drop, "host", "left").join(fixed, "host", "left")
 
 
 def main_text(source: str, host_main: bool, drop: frozenset[str], fixed: frozenset[int]) -> str:
-    """The blocks of the article, one to a line."""
+    """The blocks of the article, one to a line: those below a main element without the repeated slots of a template that has one,
+    else those in slots that don't repeat. A fixed run in a slot of the article, such as an item of a list, is the article's."""
     blocks = [b for b in parse(source).blocks if not b[2]]
     inside = [b for b in blocks if b[1]]
-    if inside:  # nothing of an article is left out for repeating
-        return "\n".join(b[3] for b in inside)
+    if inside:
+        return "\n".join(b[3] for b in inside if not (host_main and b[0] in drop))
     return "\n".join(b[3] for b in blocks if b[0] not in drop and not (fixed and run_hash(b[3]) in fixed))
 
 

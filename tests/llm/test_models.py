@@ -165,3 +165,14 @@ def test_copied_pages_are_no_template(spark):
     want = "Article {n} begins, as long as an article is.\nAnd article {n} ends, some way on."
     assert {i: got[i] for i in range(len(groups))} == {i: want.format(n=n) for i, n in enumerate(groups)}
     assert all(want.format(n=7) in got[1000 + i] for i in range(40))
+
+
+def test_the_template_chooses_inside_the_main_element(spark):
+    """Repeated slots of the template go below a main element too; items that some pages have, and repeated lines of texts, stay."""
+    page = "<body><article><div class='meta'>By our staff {k}</div><h1>Title {n}</h1><p>Text {n} of this page, one of many.</p><p>All rights reserved.</p><p>More {n}.</p>{box}<div class='cta'><p>Read our guide</p></div></article></body>"
+    rows = [(i, f"http://inner.example/{i}", page.format(n=i, k=i % 3, box="<pre>make install</pre>" if i % 4 == 0 else "")) for i in range(40)]
+    rows += [(100 + i, f"http://few.example/{i}", page.format(n=i, k=i % 3, box="")) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    own = "Title {n}\nText {n} of this page, one of many.\nAll rights reserved.\nMore {n}."
+    assert {i: got[i] for i in range(40)} == {i: own.format(n=i) + ("\nmake install" if i % 4 == 0 else "") for i in range(40)}
+    assert all(got[100 + i] == f"By our staff {i % 3}\n{own.format(n=i)}\nRead our guide" for i in range(3))
