@@ -119,3 +119,22 @@ def test_shards(spark, docs_table):
     total, largest = sum(r["size"] for r in got), max(sum(r["size"] for r in got if (r["text"] or "") == t) for t in groups)
     assert max(sum(r["size"] for r in s) for s in shards.values()) <= max(largest, 1.05 * total / 8)
     assert shard_documents(hot.limit(0)).collect() == []
+
+
+def test_texts_without_a_link_shorten_their_prefixes(spark):
+    """Isolated pairs just above the threshold: few trees miss some at the first depth and find them with shorter prefixes."""
+    import random
+
+    from starfold.llm.ngram_join import classes, depth_for
+
+    draw = random.Random(7)
+    rows = []
+    for i in range(150):
+        w = [f"w{draw.randrange(10**9)}" for _ in range(94)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:-9], *(f"x{i}y{j}" for j in range(9))]))]  # 81 of 99 shingles
+    assert (depth_for(0.8, 0.9, 8), depth_for(0.8, 0.99, 8)) == (6, 3)
+    got = classes(spark.createDataFrame(rows, "doc_id long, text string"), recall=0.9, trees=8, sure=0.99).collect()
+    assert len(got) == 300
+    linked = [r for r in got if r["n_links"] == 1 and r["class_id"] == r["doc_id"] // 2 * 2]
+    lost = [r for r in got if r["n_links"] == 0]
+    assert len(linked) + len(lost) == 300 and len(lost) <= 4
