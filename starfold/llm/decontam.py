@@ -7,7 +7,7 @@
 4. Lists are intersected with their offsets adjusted, the rarest term first: a posting of it proposes where the window
    would begin, and the second rarest has to stand at its own offset from there, exactly or, for proximity, up to ``slop`` words
    away. Few proposals are left.
-5. For exact phrases, the words of the text at the proposed place are compared with the window.
+5. The words of the text at the proposed place are compared with the window, each at its place or, for proximity, near it.
 
 Texts are named by 128 bits of hash, so equal texts share their postings and no copy is worked on twice. Small tables
 (vocabulary, windows) are written first and read back, so Spark knows their size and broadcasts them only below its own
@@ -83,8 +83,23 @@ class Index:
         self.index = stored(postings(self.texts, stored(terms, "decontam-rarest")), "decontam-postings")
 
     def near(self, slop: int) -> DataFrame:
-        """Proximity matches (k1, k2, start, wid): the two rarest terms of a window in order, up to ``slop`` words off."""
-        return intersect(self.index, self.windows, slop).drop("win")
+        """Proximity matches (k1, k2, start, wid): places of the rarest term of a window (``start``, where the window would begin)
+        with each other word of the window up to ``slop`` words off its own place. The two rarest terms propose, and all words
+        are compared with the text."""
+        proposed = stored(intersect(self.index, self.windows, slop).join(self.windows.select("wid", "a_at"), "wid"), "decontam-near")
+        by_text = proposed.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "wid", "win", "a_at")).alias("places"))
+        texts = self.texts.select(*text_key(), "t").join(loose(by_text), ["k1", "k2"]).select("k1", "k2", words("t").alias("w"), "places")
+
+        def stands(p):
+            def word_near(word, i):
+                due, off = p["start"] + i, F.when(i == p["a_at"], 0).otherwise(slop)
+                first = F.greatest(due - off, F.lit(0))
+                return F.array_contains(F.slice(F.col("w"), first + 1, F.greatest(due + off + 1 - first, F.lit(0))), word)
+
+            return F.forall(F.transform(p["win"], word_near), lambda x: x)
+
+        kept = stored(texts.select("k1", "k2", F.filter("places", stands).alias("places")), "decontam-near-true")
+        return kept.select("k1", "k2", F.explode("places").alias("p")).select("k1", "k2", "p.start", "p.wid").distinct()
 
     def phrases(self) -> DataFrame:
         """Exact matches by text: (k1, k2, n_hit, items): words inside any window, and the items with such windows."""

@@ -5,7 +5,7 @@ import pytest
 from brute import docs_rows, docs_table  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
-from starfold.llm.decontam import Index, contamination, drop_contaminated
+from starfold.llm.decontam import Index, contamination, drop_contaminated, text_key
 from starfold.llm.line_dedup import dedup_lines
 from starfold.llm.quality import RULES, estimate, features, fit, judge, quality_filter
 
@@ -117,3 +117,28 @@ def test_labels_agree(spark, docs_table):
     scored = features(docs)
     rows = [r for r in judge(scored, fit(scored)).select("row.doc_id", "base_failed", "kept").collect() if r["doc_id"] in labels and not r["base_failed"]]
     assert sum(r["kept"] == bool(labels[r["doc_id"]]) for r in rows) >= 0.99 * len(rows)
+
+
+def test_proximity_takes_all_words(spark):
+    """Proximity matches against a search of all places: each word of a window has to stand near its own place."""
+    import random
+
+    draw = random.Random(5)
+    item = [f"w{i}" for i in range(10)]
+    texts = [" ".join(draw.choices(item, k=30)) for _ in range(20)] + ["w0 w1 " + "x " * 8, "a " + " ".join(item), " ".join(item[:4] + ["x"] + item[4:]), " ".join(item[:4] + item[5:3:-1] + item[6:])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    index = Index(docs, spark.createDataFrame([(1, " ".join(item)), (2, "w3 w5 w4")], "item_id long, text string"))
+    wins = index.windows.collect()
+    for slop in (0, 1, 2):
+        want = set()
+        for t in texts:
+            w = t.split()
+            for r in wins:
+                for at in (i for i, x in enumerate(w) if x == r["win"][r["a_at"]]):
+                    start = at - r["a_at"]
+                    if all(x in w[max(0, start + i - slop) : max(0, start + i + slop + 1)] for i, x in enumerate(r["win"])):
+                        want.add((t, start, tuple(r["win"])))
+        keys = {(r["k1"], r["k2"]): r["t"] for r in index.texts.select("t", *text_key()).collect()}
+        name = {tuple(r["wid"]): tuple(r["win"]) for r in wins}
+        got = {(keys[r["k1"], r["k2"]], r["start"], name[tuple(r["wid"])]) for r in index.near(slop).collect()}
+        assert got == want and want
