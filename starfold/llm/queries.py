@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, quality, token_planes, toxicity
+from starfold.llm import bpe, quality, token_planes, toxicity, trie_bpe
+from starfold.llm.conversation_repair import audits, digests, repaired
 from starfold.llm.decontam import contamination
 from starfold.llm.html_extract import extract
 from starfold.llm.line_dedup import dedup_lines
 from starfold.llm.ngram_join import classes
+from starfold.llm.resampling import resample
 from starfold.llm.sharding import shard_documents
+from starfold.llm.tables import stored
 from starfold.llm.token_counts import count_tokens
 from starfold.session import fresh_path
 from starfold.sources.tables import read_table
@@ -93,6 +96,46 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with one row in four damaged, by a number drawn from conversation and turn: 0 drops the row, 1 empties its text,
+    2 removes its full stops, 3 repeats it, 4 makes it the user's. Nulls are one space."""
+    def filled(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat_ws(":", filled("conv_id"), filled("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(filled("text"), ".!?", "")).otherwise(filled("text"))
+    role = F.when(kind == 4, "user").otherwise(filled("role"))
+    times = F.explode(F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("_time")).drop("_time")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of each damaged conversation, its cheapest repair, and a digest of what that gives."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    broken = damaged(rows)
+    audited = stored(audits(broken), "conversation-audits")
+    digest = digests(repaired(broken, audited)).withColumnRenamed("conv_id", "whose")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = rows.select(F.col("conv_id").alias("conv")).distinct()
+    out = every.join(audited, F.col("conv").eqNullSafe(F.col("conv_id")), "left").join(digest, F.col("conv").eqNullSafe(F.col("whose")), "left")
+    none = F.sha2(F.lit(""), 256)
+    return out.select(F.col("conv").alias("conv_id"), *(F.coalesce(c, F.lit(0)).alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", none).alias("repaired_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn to be like the benchmark texts."""
+    out = resample(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"), share=25, least_words=20, seed=7, keep=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids by a trie of their words, and decoded: digests of both."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    out = trie_bpe.decode(trie_bpe.encode(documents(spark, sf_dir), vocabulary, keep=["doc_id"]), vocabulary)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_planes": op2_token_planes,
@@ -104,4 +147,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_trie_bpe": op13_trie_bpe,
 }
