@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 from itertools import chain
@@ -29,11 +31,13 @@ from starfold.llm.bpe import U4, byte_table, tokenizer
 from starfold.llm.carry import map_column
 from starfold.llm.chunks import Recent
 
+#: Whether an array of unsigned ints is stored as the ids are.
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Controls that Python takes for blanks and the tokenizer's pattern doesn't.
 ODD = re.compile("[\x1c-\x1f]")
 RUN = re.compile("[^\x09-\x0d \x85\xa0  -     　]+")
-#: Entries of each of a worker's dictionaries of neighbours and steps.
-MEMORY = 1_000_000
+#: Entries of a worker's dictionaries: neighbours, steps of the walk, runs and words with their ids.
+NEIGHBOURS, STEPS, RUNS, WORDS = 600_000, 150_000, 300_000, 200_000
 
 
 class Merges:
@@ -107,8 +111,8 @@ class Merges:
 
     def encode(self, words: Sequence[str]) -> dict[str, list[int]]:
         """The tokens of each distinct word (not empty, spelled by the byte table)."""
-        for memory in (self.known, self.steps, self.stops):
-            if len(memory) > MEMORY:
+        for memory, most in ((self.known, NEIGHBOURS), (self.steps, STEPS), (self.stops, STEPS)):
+            if len(memory) > most:
                 memory.clear()
         return self.walk(trie(words))
 
@@ -180,7 +184,7 @@ class TrieCoder:
         self.special = {t.content: np.array([i], U4).tobytes() for i, t in added.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
-        self.runs, self.words = Recent(self.new_runs, most=300_000), Recent(self.new_words, most=200_000)
+        self.runs, self.words = Recent(self.new_runs, most=RUNS), Recent(self.new_words, most=WORDS)
 
     def words_of(self, runs: list[str]) -> list[list[str]]:
         """The words of each run, from one normal form and one cut of all runs with a blank between."""
@@ -194,7 +198,7 @@ class TrieCoder:
     def new_words(self, words: list[str]) -> list[bytes]:
         """The ids of words, all through one trie."""
         ids = self.merges.encode(words)
-        return [np.array(ids[w], U4).tobytes() for w in words]
+        return [array("I", ids[w]).tobytes() for w in words] if LITTLE else [np.array(ids[w], U4).tobytes() for w in words]
 
     def new_runs(self, runs: list[str]) -> list[bytes]:
         """The ids of runs between blanks."""
@@ -226,13 +230,12 @@ def coder(path: str) -> TrieCoder:
 @lru_cache(maxsize=2)
 def spellings(path: str) -> pa.Array:
     """The string of each id, null where there is none."""
-    library = tokenizer(path, None)
-    if library.decoder is not None:
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    if file.get("decoder") is not None:
         raise ValueError(f"{path}: has a decoder of its own")
-    vocabulary = library.get_vocab(with_added_tokens=True)
-    out: list[str | None] = [None] * (max(vocabulary.values(), default=-1) + 1)
-    for token, i in vocabulary.items():
-        out[i] = token
+    names = {i: token for token, i in file["model"]["vocab"].items()} | {t["id"]: t["content"] for t in file.get("added_tokens", [])}
+    out = [names.get(i) for i in range(max(names, default=-1) + 1)]
     return pa.array(out, pa.string())
 
 
