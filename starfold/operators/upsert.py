@@ -30,13 +30,13 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
            id_col: str | None = None, created_col: str | None = "created_at",
            now: Column | None = None, id_order: str | None = None,
            id_base: int | None = None, cached: list | None = None,
-           counted: list | None = None) -> DataFrame:
-    """``id_order="_first_seen"`` numbers new keys by first arrival (one
+           counted: list | None = None, reduced: bool = False) -> DataFrame:
+    """``reduced``: ``incoming`` has one row per key already, with ``_first_seen``.  ``id_order="_first_seen"`` numbers new keys by first arrival (one
     extra range-partitioning pass); ids are otherwise dense but unordered."""
     keys, update_cols = list(keys), list(update_cols)
     now = now if now is not None else F.current_timestamp()
-    latest = last_wins(incoming.select(*keys, *update_cols, order), keys, order,
-                       first_seen="_first_seen")
+    latest = incoming if reduced else last_wins(incoming.select(*keys, *update_cols, order), keys, order,
+                                                first_seen="_first_seen")
     hits = latest.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in update_cols],
                          F.lit(True).alias("_hit"))
     carried = [c for c in current.columns if c not in keys and c not in update_cols]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.listing import with_state
 from .warehouse import Warehouse
 
 RAW_PREFIX, ARCHIVE_PREFIX = "raw/", "archive/"
@@ -20,6 +21,14 @@ def unprocessed_files(listing: DataFrame, wh: Warehouse) -> DataFrame:
     return listing.select("source_file").distinct().join(successful_files(wh), "source_file", "left_anti")
 
 
+def file_states(listing: DataFrame, wh: Warehouse) -> DataFrame:
+    """The listing with ``state``: new (no successful load in the ledger), known, or
+    changed (loaded, with another length or time of modification then)."""
+    latest = F.max_by(F.struct("length", "modified"), "run_date")
+    loaded = wh.table("loaded_files").groupBy("source_file").agg(latest.alias("_at"))
+    return with_state(listing, loaded.select("source_file", "_at.length", "_at.modified"), successful_files(wh))
+
+
 def archive_plan(verdicts: DataFrame) -> DataFrame:
     """Where each successfully loaded file goes: every ``raw/`` in the key
     becomes ``archive/``.  Only successes move; failures stay for retry."""

@@ -125,7 +125,7 @@ def dq_summary(wh: Warehouse) -> DataFrame:
     plan and nothing but the catalog listing runs on the driver.  Tables count
     when a commit names them, views when the catalog lists them."""
     spark = wh.spark
-    present_tables = sum(1 for t in REQUIRED_TABLES if wh.paths.get(t) or wh.parts.get(t))
+    present_tables = sum(1 for t in REQUIRED_TABLES if wh.exists(t))
     views = {t.name for t in spark.catalog.listTables()}
     present_views = sum(1 for v in REQUIRED_VIEWS if v in views)
     catalog = spark.createDataFrame(

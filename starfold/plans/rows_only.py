@@ -123,7 +123,7 @@ def mv_staleness(r: Run) -> DataFrame:
     """The rollup as stored after the first of two runs, against the live
     rollup after both: months whose stored numbers are stale."""
     wh, _ = r.two
-    stored = wh.version("mv_monthly_sales", 1).groupBy("month").agg(
+    stored = wh.as_of(1).table("mv_monthly_sales").groupBy("month").agg(
         F.sum("total_revenue").cast("double").alias("stored_revenue"))
     live = monthly_rollup(wh.table("fact_sales"), wh.table("dim_products")).groupBy("month").agg(
         F.sum("total_revenue").cast("double").alias("live_revenue"))

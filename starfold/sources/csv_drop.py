@@ -23,7 +23,7 @@ import os
 import re
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import NA_TOKENS, date_format_of
@@ -43,6 +43,18 @@ def _uri_path(root: str) -> str:
     return os.path.abspath(root).rstrip("/")
 
 
+def relative_path(path: F.Column, root: str) -> F.Column:
+    """A file's path below ``root``."""
+    prefix = re.escape(_uri_path(root)).lstrip("/")
+    return F.regexp_extract(path, f"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?/*{prefix}/(.*)$", 1)
+
+
+def file_path() -> F.Column:
+    """The path of the file that a row was read from.  The metadata column has it encoded as a URI (in which a plus
+    sign stands for itself)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def with_fields(df: DataFrame, col: str, width: int, out: str = "_f") -> DataFrame:
     """Add ``out``: the CSV line in ``col`` as an array of ``width`` string
     fields (NULL past its end).  The line is parsed once into a struct
@@ -74,28 +86,61 @@ def parse_width(headers: DataFrame) -> int:
 def text_lines(text: DataFrame, root: str) -> DataFrame:
     """The non-blank lines of a text scan (batch or micro-batch) with lineage
     and order.  ``text``: value, _path, _block."""
-    prefix = re.escape(_uri_path(root))
-    rel = F.regexp_extract(F.col("_path"), f"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?/*{prefix.lstrip('/')}/(.*)$", 1)
-    lines = text.withColumn("_row", F.monotonically_increasing_id()).withColumn("source_file", rel)
+    rel = relative_path(F.col("_path"), root)
+    row = F.col("_id") if "_id" in text.columns else F.monotonically_increasing_id()
+    lines = text.withColumn("_row", row).withColumn("source_file", rel).drop("_id")
     lines = lines.withColumn("_pos", F.struct("_block", "_row"))
     return lines.filter(~F.col("value").isin("", "\r"))
 
 
-def scan_lines(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
-    """Every non-blank line of every ``*.csv`` below ``root`` with lineage and order.
+def scan_lines(spark: SparkSession, root: str, multi_line: bool = False, paths: list[str] | None = None) -> DataFrame:
+    """Every non-blank line of every ``*.csv`` below ``root`` with lineage and order; of the files ``paths`` alone where they are given.
 
-    ``multi_line``: records may hold line breaks inside quotes.  Each file is
-    then read whole by one task and cut into records there, so use it for
-    drops of many files, not for one huge file."""
+    ``multi_line``: records may hold line breaks inside quotes (``quoted_records``)."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    if not multi_line:
-        return text_lines(reader.text(root).select(
-            "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")), root)
-    # an even number of quotes follows a line break that ends a record
-    whole = reader.text(root, wholetext=True).select(
-        F.split(F.rtrim("value", F.lit("\r\n")), '\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)').alias("rows"), F.col("_metadata.file_path").alias("_path"))
-    return text_lines(whole.select(F.posexplode("rows").alias("_at", "value"), "_path").select(
-        "value", "_path", F.col("_at").cast("long").alias("_block")), root)
+    if paths is not None and not paths:
+        text = spark.createDataFrame([], "value string, _path string, _block long")
+    else:
+        # a record may hold a carriage return of its own: only line feeds cut lines then
+        text = (reader.option("lineSep", "\n") if multi_line else reader).text(paths if paths is not None else root).select(
+            "value", file_path().alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    return text_lines(quoted_records(text) if multi_line else text, root)
+
+
+def quoted_records(text: DataFrame, run: int = 4096) -> DataFrame:
+    """Records in place of lines (value, _path, _block) where quoted fields hold line breaks.
+
+    A line feed ends a record if an even number of quotes is before it in its file.  That is a prefix sum over lines, taken in two
+    steps so that no file is gathered: lines are numbered within the block that a task read and cut into runs, each run sums its quotes,
+    and a window over the runs of a file (one row for each ``run`` lines) gives the number before each.  A record then is known by
+    the line that it begins at, and only lines that don't end a record are gathered with those that go on with it: the lines of one
+    record, however many the file has.
+    """
+    low = F.lit((1 << 33) - 1)
+    n_quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = text.withColumn("_id", F.monotonically_increasing_id()).withColumn("_quotes", n_quotes).withColumn("_part", F.shiftrightunsigned("_id", 33))
+    lines = lines.withColumn("_run", F.floor(F.col("_id").bitwiseAND(low) / run)).persist(StorageLevel.MEMORY_AND_DISK)  # ids are fixed here
+    sums = lines.groupBy("_path", "_block", "_part", "_run").agg(F.sum("_quotes").alias("_sum"))
+    earlier = Window.partitionBy("_path").orderBy("_block", "_part", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    # within a run: at most ``run`` lines to a window, so a file of any size is cut in parallel
+    own = Window.partitionBy("_path", "_block", "_part", "_run").orderBy("_id")
+    upto = F.col("_before") + F.sum("_quotes").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    at = lines.join(before, ["_path", "_block", "_part", "_run"]).withColumn("_upto", upto)
+    begins = (F.col("_upto") - F.col("_quotes")) % 2 == 0
+    whole = at.where(begins & (F.col("_upto") % 2 == 0))
+    broken = at.where(~begins | (F.col("_upto") % 2 == 1)).withColumn("_odd", F.when(begins, F.struct("_block", "_id")))
+    # lines of broken records follow their first line; the same two steps give each of them the place of that line
+    heads = broken.groupBy("_path", "_block", "_part", "_run").agg(F.max("_odd").alias("_last"))
+    ahead = Window.partitionBy("_path").orderBy("_block", "_part", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumn("_head", F.last("_last", ignorenulls=True).over(ahead)).drop("_last")
+    within = F.last("_odd", ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    placed = broken.join(heads, ["_path", "_block", "_part", "_run"]).withColumn("_first", F.coalesce(within, F.col("_head")))
+    joined = placed.groupBy("_path", "_first").agg(F.array_sort(F.collect_list(F.struct("_block", "_id", "value"))).alias("_lines"))
+    joined = joined.select(F.array_join(F.col("_lines.value"), "\n").alias("value"), "_path", F.col("_first._block").alias("_block"), F.col("_first._id").alias("_id"))
+    out = whole.select("value", "_path", "_block", "_id").unionByName(joined)
+    # a carriage return before the line feed belongs to it
+    return out.withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
 def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None = None) -> DataFrame:
@@ -144,12 +189,12 @@ def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_C
                        F.col("date_format").alias("_date_format"))
 
 
-def scan_drop(spark: SparkSession, root: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_drop(spark: SparkSession, root: str, multi_line: bool = False, paths: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lines, drop of valid files, per-file checks) for the CSV files under
     root.  The scanned lines are persisted: the header table, the checks and
     the records all read them, and the row ids that order records are fixed
     once; ``lines.unpersist()`` releases them after the load."""
-    lines = scan_lines(spark, root, multi_line).persist(StorageLevel.MEMORY_AND_DISK)
+    lines = scan_lines(spark, root, multi_line, paths).persist(StorageLevel.MEMORY_AND_DISK)
     width = parse_width(_headers(lines))
     checks = file_checks(lines, width=width)
     return lines, records(lines, checks, width), checks

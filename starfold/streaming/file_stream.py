@@ -11,6 +11,11 @@ The stream carries text lines, so every micro-batch goes through the same
 structural checks and by-name columns as the batch path: a file is the unit of
 a file stream, and all its lines are in one micro-batch.  Invalid files go to
 the ledger with their reason and are not loaded.
+
+Each micro-batch is loaded exactly once: its epoch is part of the warehouse's
+commit, under the name of the stream (its checkpoint).  A stream that stops
+between the commit and its own checkpoint runs the epoch again, and the load is
+skipped.  Files that the ledger has as loaded, by a batch for instance, are left out.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.warehouse import Warehouse
-from ..sources.csv_drop import _headers, file_checks, parse_width, records, text_lines
+from ..sources.csv_drop import _headers, file_checks, file_path, parse_width, records, text_lines
 
 
 def line_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -29,7 +34,7 @@ def line_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int |
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(raw_glob).select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+        "value", file_path().alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpoint: str,
@@ -42,7 +47,10 @@ def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpo
         lines = text_lines(batch, root).persist(StorageLevel.MEMORY_AND_DISK)
         width = parse_width(_headers(lines))
         checks = file_checks(lines, width=width).checkpoint(eager=True)  # one row per file
-        wh.load(records(lines, checks, width), refresh="incremental", invalid=checks.filter(F.col("status") == "invalid")).release()
+        report = wh.load(records(lines, checks, width), refresh="incremental", invalid=checks.filter(F.col("status") == "invalid"),
+                         only_new=True, stream=(checkpoint, epoch_id))
+        if report:
+            report.release()
         lines.unpersist()
         epochs.append(epoch_id)
 
