@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.csv_drop import scan_drop
+from ..sources.csv_drop import raw_lines, scan_drop
 from ..sources.listing import list_files, plain
 from . import ledger
 from .warehouse import BatchReport, Warehouse
@@ -34,10 +34,13 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
     Invalid files (missing columns, empty, ragged) are reported in ``checks``
     and left in place, like the validation step that skips them; where others
     are loaded, they get a ledger row with status ``invalid``.  With
-    ``archive_root`` the raw records of successful files are appended to an
-    archive dataset partitioned by archive key (``raw/`` -> ``archive/``).
+    ``archive_root`` the lines of successful files, header and all, are put
+    below it byte for byte, under their archive key (``raw/`` -> ``archive/``; a last
+    line gets a line feed if it has none).  The load's commit names them, so a
+    job that stops before they are in place leaves that to the next one.
     """
     spark = wh.spark
+    wh.finish_archives()
     # one row per file; cut from the ledger, which this batch appends to
     files = ledger.file_states(list_files(spark, root), wh).checkpoint(eager=True)
     wanted = ["new", "changed"] if reload_changed else ["new"]
@@ -50,13 +53,10 @@ def run_csv_batch(wh: Warehouse, root: str, refresh: str = "incremental",
         checks = checks.checkpoint(eager=True)
         lines.unpersist()
         return CsvBatch(checks=checks, report=None, files=files)
-    report = wh.load(drop, refresh=refresh, invalid=checks.filter(F.col("status") == "invalid"),
+    archive = (ledger.archive_lines(raw_lines(spark, root, paths)), archive_root) if archive_root else None
+    report = wh.load(drop, refresh=refresh, invalid=checks.filter(F.col("status") == "invalid"), archive=archive,
                      listing=todo.select("source_file", "length", "modified"), only_new=use_ledger and not reload_changed)
-    if archive_root:
-        (ledger.archive_rows(drop, report.verdicts)
-         .write.mode("append").partitionBy("archive_key").option("header", True)
-         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).csv(archive_root))
+    wh.finish_archives()
     checks = checks.checkpoint(eager=True)  # one row per file; keep it, drop the lines
     report.release()
     lines.unpersist()

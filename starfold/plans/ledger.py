@@ -38,11 +38,10 @@ def archive_plan(verdicts: DataFrame) -> DataFrame:
                      F.col("n_records").alias("rows"))
 
 
-def archive_rows(raw: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The raw records of successful files under their archive key, ready to
-    append to an archive dataset partitioned by ``archive_key``."""
-    plan = archive_plan(verdicts).select("source_file", "archive_key")
-    return raw.drop("_arrival").join(plan, "source_file")
+def archive_lines(lines: DataFrame) -> DataFrame:
+    """Raw lines under their file's archive key."""
+    key = F.replace(F.col("source_file"), F.lit(RAW_PREFIX), F.lit(ARCHIVE_PREFIX))
+    return lines.select("source_file", key.alias("archive_key"), "block", "row", "line")
 
 
 def refresh_needed(runs: DataFrame) -> DataFrame:

@@ -122,8 +122,15 @@ SCHEMAS = {
         T.StructField("modified", T.TimestampType()),
         T.StructField("run_date", T.TimestampType()),
     ]),
+    # lines of loaded files that are still to be put into their archive
+    "archive": T.StructType([
+        T.StructField("archive_key", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("row", T.LongType()),
+        T.StructField("line", T.StringType()),
+    ]),
 }
-APPENDED = ("fact_sales", "pipeline_runs", "loaded_files")
+APPENDED = ("fact_sales", "pipeline_runs", "loaded_files", "archive")
 #: Tables in hash buckets, and the column that gives the bucket.
 BUCKETED = {"dim_customers": "email", "dim_products": "product_id", "product_months": "product_id"}
 #: Tables with a cell for each month.
@@ -379,7 +386,7 @@ class Warehouse:
         last commit if another writer was first."""
         while True:
             before = self._state()
-            for table in [name] if name else APPENDED:
+            for table in [name] if name else APPENDED[:3]:
                 parts = sorted(self.parts[table], key=lambda p: p.get("rows", 0))
                 merged = parts[: (len(parts) + 1) // 2] if name else parts
                 if len(merged) < 2:
@@ -396,6 +403,24 @@ class Warehouse:
                 return
             self._catch_up()
 
+    def finish_archives(self) -> int:
+        """Puts the lines that commits have named into their archives, and commits
+        that it is done; returns for how many batches.  Whatever stops it, the next
+        call does the open ones again, over what was written."""
+        done = 0
+        while self.parts["archive"]:
+            before = self._state()
+            for part in self.parts["archive"]:
+                order = ["archive_key", "block", "row"]
+                lines = self._read_parts("archive", [part["path"]]).repartitionByRange(*order).sortWithinPartitions(*order)
+                (lines.select("archive_key", "line").write.mode("overwrite").partitionBy("archive_key")
+                 .text(f"{part['to'].rstrip('/')}/{part['path'].rpartition('/')[2]}"))
+            finished, self.parts["archive"] = len(self.parts["archive"]), []
+            if self._commit(before):
+                return done + finished
+            self._catch_up()
+        return done
+
     def vacuum(self, keep: int = 2, older_than: float = 24 * 3600) -> list[str]:
         """Deletes folders that none of the last ``keep`` commits names and
         that were last written ``older_than`` seconds ago (a batch under way
@@ -420,7 +445,7 @@ class Warehouse:
     # -- the batch -------------------------------------------------------
     def load(self, raw: DataFrame, refresh: str = "incremental", valid_files: DataFrame | None = None,
              invalid: DataFrame | None = None, listing: DataFrame | None = None, only_new: bool = False,
-             stream: tuple[str, int] | None = None) -> BatchReport | None:
+             stream: tuple[str, int] | None = None, archive: tuple[DataFrame, str] | None = None) -> BatchReport | None:
         """Load a drop as one commit: if any step fails, the warehouse stays
         as it was (see ``_load`` for the arguments).  If another writer has
         committed meanwhile, the load starts again from that commit.
@@ -432,7 +457,7 @@ class Warehouse:
                 return None
             before, cached = self._state(), []
             try:
-                report = self._load(raw, refresh, valid_files, invalid, listing, only_new, cached)
+                report = self._load(raw, refresh, valid_files, invalid, listing, only_new, cached, archive)
                 if stream:
                     self.streams[stream[0]] = stream[1]
                 landed = self._commit(before)
@@ -446,7 +471,7 @@ class Warehouse:
                 break
             report.release()
             self._catch_up()
-        for name in APPENDED:
+        for name in APPENDED[:3]:
             if len(self.parts[name]) > self.most_parts:
                 self.compact(name)
         return report
@@ -469,7 +494,7 @@ class Warehouse:
         return current, touched
 
     def _load(self, raw: DataFrame, refresh: str, valid_files: DataFrame | None, invalid: DataFrame | None,
-              listing: DataFrame | None, only_new: bool, cached: list) -> BatchReport:
+              listing: DataFrame | None, only_new: bool, cached: list, archive: tuple[DataFrame, str] | None) -> BatchReport:
         """Clean, judge files, upsert dims, insert-ignore facts, log, refresh.
 
         ``raw``: a drop (13 string columns, source_file, _arrival).
@@ -482,6 +507,9 @@ class Warehouse:
         ``listing``: (source_file, length, modified) of the drop's files, noted
         for those that are loaded.
         ``only_new``: leave out files that the ledger has as loaded.
+        ``archive``: (source_file, archive_key, block, row, line) and the archive's
+        folder; the lines of loaded files are stored with the batch and named by its
+        commit, as work that ``finish_archives`` has to do.
 
         The drop must not read this warehouse's tables (cut its lineage
         first, as ``run_csv_batch`` does): Spark re-caches plans reading a
@@ -563,6 +591,9 @@ class Warehouse:
             self.sequences["pipeline_runs"] = run_base + n_runs[0]
             if listing is not None:
                 self._append("loaded_files", listing.join(success, "source_file", "left_semi").withColumn("run_date", now).coalesce(1))
+            if archive is not None:
+                self._append("archive", archive[0].join(success, "source_file", "left_semi"))
+                self.parts["archive"][-1]["to"] = archive[1]
             return stored
 
         def follow() -> list[str]:

@@ -107,6 +107,13 @@ def scan_lines(spark: SparkSession, root: str, multi_line: bool = False, paths:
     return text_lines(quoted_records(text) if multi_line else text, root)
 
 
+def raw_lines(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """(source_file, block, row, line) of every line of the files, carriage returns and blank lines included."""
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(paths)
+    return text.select(relative_path(file_path(), root).alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"))
+
+
 def quoted_records(text: DataFrame, run: int = 4096) -> DataFrame:
     """Records in place of lines (value, _path, _block) where quoted fields hold line breaks.
 
