@@ -18,9 +18,10 @@ PORTION = 1_000_000
 
 
 def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """(start, length) of runs of rows with about ``most`` bytes each, one row at least."""
+    """(start, length) of runs of rows with about ``most`` bytes (of lists: items) each, one row at least."""
     start = held = 0
-    for i, size in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+    length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    for i, size in enumerate(pc.fill_null(length(column), 0).to_pylist()):
         if held and held + size > most:
             yield start, i - start
             start, held = i, 0

@@ -25,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starfold.llm.bpe import U4, byte_table, tokenizer
-from starfold.llm.carry import map_column
+from starfold.llm.carry import map_column, slices
 from starfold.llm.chunks import Recent
 
 #: Whether an array of unsigned ints is stored as the ids are.
@@ -37,7 +38,7 @@ LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 ODD = re.compile("[\x1c-\x1f]")
 RUN = re.compile("[^\x09-\x0d \x85\xa0  -     　]+")
 #: Entries of a worker's dictionaries: neighbours, steps of the walk, runs and words with their ids.
-NEIGHBOURS, STEPS, RUNS, WORDS = 600_000, 150_000, 300_000, 200_000
+NEIGHBOURS, STEPS, RUNS, WORDS = 600_000, 150_000, 220_000, 120_000
 
 
 class Merges:
@@ -259,6 +260,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] |
     return map_column(docs, text, T.StringType(), new, work, keep)
 
 
+def joined(ids: pa.Array, table: pa.Array) -> pa.Array:
+    """The strings of each row's ids with one space between."""
+    flat = ids.flatten()
+    flat = pc.if_else(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table))), flat, pa.scalar(None, flat.type))
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), table.take(flat))
+    if tokens.flatten().null_count:
+        return pa.array([" ".join(x for x in row if x is not None) for row in tokens.to_pylist()], pa.string())
+    return pc.binary_join(tokens, " ")
+
+
 def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``: the strings of the ids joined by one space, as the library decodes for a file that names no decoder
     and special tokens aren't skipped. Null or no ids give the empty string; ids without a token give nothing, as in the library.
@@ -269,20 +281,10 @@ def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     def run(batches):
         table = spellings(path)
-        for batch in batches:
-            own = batch.column(at)
-            flat = own.flatten()
-            flat = pc.if_else(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table))), flat, pa.scalar(None, flat.type))
-            sizes = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(offsets), table.take(flat))
-            if flat.null_count or tokens.flatten().null_count:
-                text = pa.array([" ".join(x for x in row if x is not None) for row in tokens.to_pylist()], pa.string())
-            else:
-                text = pc.binary_join(tokens, " ")
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=schema.names)
-
-    from pyspark.sql import functions as F
+        for whole in batches:
+            for start, length in slices(whole.column(at), 200_000):
+                batch = whole.slice(start, length)
+                yield pa.RecordBatch.from_arrays([*batch.columns, joined(batch.column(at), table)], names=schema.names)
 
     out = coded.select(*(F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(rows))).mapInArrow(run, schema)
     return out.select(*(F.col(f"c{i}").alias(f.name) for i, f in enumerate(rows)), F.col("new").alias("decoded"))
