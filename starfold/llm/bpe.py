@@ -10,6 +10,7 @@ decoded, and in offsets each of those tokens gets the whole character.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ def spell(token: bytes) -> str:
 
 
 def as_bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype=U4).tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -81,7 +82,8 @@ def coder(path: str, pattern: str | None) -> ChunkCoder:
     def encode_many(texts):
         return [as_bytes(e.ids) for e in library.encode_batch_fast(list(texts), add_special_tokens=False)] if texts else []
 
-    return ChunkCoder(encode_many, [t.content for t in library.get_added_tokens_decoder().values()])
+    sizes = np.array([len(x) for x in token_bytes(path, pattern)], np.int64)
+    return ChunkCoder(encode_many, [t.content for t in library.get_added_tokens_decoder().values()], sizes=sizes)
 
 
 @lru_cache(maxsize=4)

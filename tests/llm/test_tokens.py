@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starfold.llm import bpe, token_counts, token_planes
-from starfold.llm.chunks import Recent, cut
+from starfold.llm.chunks import ChunkCoder, Recent, cut
 from starfold.session import fresh_path
 
 RANKS, JSON, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
@@ -45,6 +45,30 @@ def test_chunks_encode_like_whole_texts(text):
     assert ids_of(bpe.coder(JSON, None).encode([text])[0]) == whole
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXT, max_size=12))
+def test_many_texts_encode_like_each_alone(texts):
+    """New chunks are encoded in runs; a fresh dictionary each time, so that all are new."""
+    for path, pattern in ((JSON, None), (RANKS, P.PATTERN)):
+        kept = bpe.coder(path, pattern)
+        fresh = ChunkCoder(kept.encode_many, kept.special, at_once=5, sizes=kept.sizes)
+        library = bpe.tokenizer(path, pattern)
+        assert [ids_of(x) for x in fresh.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_runs_fall_back_where_an_id_crosses_a_chunk():
+    """A library that makes one id of two chunks: the run is refused and each chunk is encoded alone."""
+    calls = []
+
+    def many(texts):
+        calls.append(list(texts))
+        return [bpe.as_bytes([1] * (len(t) // 4)) for t in texts]
+
+    coded = ChunkCoder(many, sizes=np.array([0, 4], np.int64))
+    assert [ids_of(x) for x in coded.in_runs([" abc", " ab", " abcd"])] == [[1], [], [1]]
+    assert calls == [[" abc ab abcd"], [" abc", " ab", " abcd"]]
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXT)
 def test_counts_are_those_of_the_library(text):
