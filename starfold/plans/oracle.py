@@ -258,6 +258,14 @@ FINAL = {
     "dash_discount_impact": (f"SELECT CAST(discount AS DOUBLE) AS discount, COUNT(*) AS orders, {_REV}, {_AVG} "
                              "FROM fact GROUP BY 1 ORDER BY 1"),
     "dash_region_channel": f"SELECT region, channel, COUNT(*) AS orders, {_REV} FROM fact GROUP BY region, channel",
+    "dash_region_channel_pivot": ("SELECT region, " + ", ".join(
+        f"CAST(SUM(total_amount) FILTER (WHERE channel = {_q(c)}) AS DOUBLE) AS channel_{i}" for i, c in enumerate(CHANNEL_DOMAIN, 1))
+        + f", CAST(SUM(total_amount) FILTER (WHERE channel IS NULL OR channel NOT IN ({_in(CHANNEL_DOMAIN)})) AS DOUBLE) AS channel_other "
+          "FROM fact GROUP BY region"),
+    "dash_region_monthly_customers": ("SELECT m.*, t.region_customers FROM (SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, region, "
+                                      "COUNT(DISTINCT email) AS customers FROM fact GROUP BY 1, 2) m "
+                                      "JOIN (SELECT region, COUNT(DISTINCT email) AS region_customers FROM fact GROUP BY region) t "
+                                      "ON m.region IS NOT DISTINCT FROM t.region"),
     "dash_region_monthly": (f"SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, region, COUNT(*) AS orders, "
                             f"{_REV} FROM fact GROUP BY 1, 2"),
     "dash_region_quarterly": (f"SELECT CAST(date_trunc('quarter', sale_date) AS DATE) AS quarter, region, "
@@ -266,6 +274,10 @@ FINAL = {
                        "FROM fact"),
     "dash_error_monitor": ("SELECT status, COUNT(*) AS files, CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded "
                            "FROM runs GROUP BY status"),
+    # the messages that the drop's dirt rules can cause
+    "dash_error_files": ("SELECT source_file, v.status, CASE WHEN bool_or(pid_text) AND bool_or(c5 AND pid_fraction) THEN 'product_id is not an integer' "
+                         "WHEN bool_or(c5 AND pid_text) THEN 'product_id is not a number' END AS error_message "
+                         "FROM verdict v JOIN flags f USING (source_file) WHERE v.status <> 'success' GROUP BY 1, 2"),
     "sales_core": ("SELECT f.order_id, f.sale_date, c.customer_name, f.email, c.region AS customer_region, "
                    "pr.product_name, pr.category, f.quantity, CAST(f.total_amount AS DOUBLE) AS total_amount, "
                    "f.region, f.channel FROM fact f JOIN cust c ON f.email = c.email "

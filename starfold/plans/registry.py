@@ -131,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "dash_category_breakdown": _wh(reports.dash_category_breakdown),
     "dash_discount_impact": _wh(reports.dash_discount_impact),
     "dash_region_channel": _wh(reports.dash_region_channel),
+    "dash_region_channel_pivot": _wh(reports.dash_region_channel_pivot),
+    "dash_region_monthly_customers": _wh(reports.dash_region_monthly_customers),
+    "dash_error_files": _wh(reports.dash_error_files),
     "dash_region_monthly": _wh(reports.dash_region_monthly),
     "dash_region_quarterly": _wh(reports.dash_region_quarterly),
     "dash_freshness": _wh(reports.dash_freshness),

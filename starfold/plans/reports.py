@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .warehouse import Warehouse
+from .quality import CHANNEL_DOMAIN
+from .warehouse import Warehouse, merged_customers
 
 
 def money(c: Column | str) -> Column:
@@ -45,12 +46,24 @@ def v_product_performance(wh: Warehouse) -> DataFrame:
         avg_of(F.col("_disc_sum"), F.col("_disc_n")).alias("avg_discount_pct"))
 
 
+def _customers_and_sums(wh: Warehouse, *keys: str) -> DataFrame:
+    """(keys, unique_customers, total_orders, _rev, _n_amount) from the stored cube
+    and bitmaps of customers, which every batch brings up to date; no fact is
+    read.  Both sides are reduced and then united, so a null key needs no join."""
+    none = F.lit(0).cast("long")
+    people = merged_customers(wh.table("month_customers"), *keys).groupBy(*keys).agg(
+        F.sum(F.bitmap_count("bits")).alias("unique_customers"))
+    sums = wh.table("sales_cube").groupBy(*keys).agg(
+        F.sum("n").alias("total_orders"), F.sum("revenue").alias("_rev"), F.sum("n_amount").alias("_n_amount"))
+    both = people.select(*keys, "unique_customers", none.alias("total_orders"), F.lit(None).alias("_rev"), none.alias("_n_amount")).unionByName(
+        sums.select(*keys, none.alias("unique_customers"), "total_orders", "_rev", "_n_amount"))
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("unique_customers", "total_orders", "_rev", "_n_amount")])
+
+
 def v_regional_performance(wh: Warehouse) -> DataFrame:
-    return wh.table("fact_sales").groupBy("region").agg(
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.count("sale_id").alias("total_orders"),
-        money(F.sum("total_amount")).alias("total_revenue"),
-        avg_of(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"))
+    return _customers_and_sums(wh, "region").select(
+        "region", "unique_customers", "total_orders", money("_rev").alias("total_revenue"),
+        avg_of(F.col("_rev"), F.col("_n_amount")).alias("avg_order_value"))
 
 
 def mv_monthly_sales(wh: Warehouse) -> DataFrame:
@@ -113,10 +126,18 @@ def _orders_revenue(df: DataFrame, *keys) -> DataFrame:
 
 
 def dash_kpis(wh: Warehouse) -> DataFrame:
-    return wh.table("fact_sales").agg(
-        money(F.sum("total_amount")).alias("total_revenue"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"))
+    return _customers_and_sums(wh).select(
+        money("_rev").alias("total_revenue"), F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        F.coalesce("unique_customers", F.lit(0)).alias("total_customers"))
+
+
+def dash_region_monthly_customers(wh: Warehouse) -> DataFrame:
+    """Customers of each month and region, and how many of a region's customers that is."""
+    bitmaps = wh.table("month_customers")
+    monthly = bitmaps.groupBy("month", "region").agg(F.sum(F.bitmap_count("bits")).alias("customers"))
+    total = merged_customers(bitmaps, "region").groupBy("region").agg(F.sum(F.bitmap_count("bits")).alias("region_customers"))
+    joined = monthly.join(total, monthly["region"].eqNullSafe(total["region"])).select("month", monthly["region"], "customers", "region_customers")
+    return joined.orderBy("month", "region")
 
 
 def dash_order_volume(wh: Warehouse) -> DataFrame:
@@ -154,6 +175,14 @@ def dash_region_channel(wh: Warehouse) -> DataFrame:
     return _orders_revenue(wh.table("fact_sales"), "region", "channel").orderBy("region", "channel")
 
 
+def dash_region_channel_pivot(wh: Warehouse) -> DataFrame:
+    """Revenue with a row for each region and a column for each channel of the model; others together."""
+    in_domain = F.coalesce(F.col("channel").isin(*CHANNEL_DOMAIN), F.lit(False))
+    cells = [money(F.sum(F.when(F.col("channel") == c, F.col("revenue")))).alias(f"channel_{i}") for i, c in enumerate(CHANNEL_DOMAIN, 1)]
+    return (wh.table("sales_cube").groupBy("region")
+            .agg(*cells, money(F.sum(F.when(~in_domain, F.col("revenue")))).alias("channel_other")).orderBy("region"))
+
+
 def dash_region_monthly(wh: Warehouse) -> DataFrame:
     f = wh.table("fact_sales").withColumnRenamed("sale_month", "month")
     return _orders_revenue(f, "month", "region").orderBy("month", "region")
@@ -175,6 +204,13 @@ def dash_error_monitor(wh: Warehouse) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("files"), F.sum("rows_loaded").cast("long").alias("rows_loaded")))
 
 
+def dash_error_files(wh: Warehouse) -> DataFrame:
+    """Files that weren't loaded, each with the message of its last run."""
+    failed = wh.table("pipeline_runs").where(F.col("status") != "success")
+    return (failed.groupBy("source_file").agg(F.max_by("error_message", "run_id").alias("error_message"), F.max_by("status", "run_id").alias("status"))
+            .select("source_file", "status", "error_message"))
+
+
 def dash_run_history(wh: Warehouse) -> DataFrame:
     return wh.table("pipeline_runs").orderBy(F.col("run_date").desc(), F.col("run_id").desc())
 

@@ -110,6 +110,13 @@ SCHEMAS = {
         T.StructField("revenue", T.DecimalType(22, 2)),
         T.StructField("n_amount", T.LongType()),
     ]),
+    # bitmaps of customer ids: exact distinct counts that merge over months, regions and batches
+    "month_customers": T.StructType([
+        T.StructField("month", T.DateType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+    ]),
     # the months in which a product was sold
     "product_months": T.StructType([
         T.StructField("product_id", T.IntegerType()),
@@ -134,7 +141,7 @@ APPENDED = ("fact_sales", "pipeline_runs", "loaded_files", "archive")
 #: Tables in hash buckets, and the column that gives the bucket.
 BUCKETED = {"dim_customers": "email", "dim_products": "product_id", "product_months": "product_id"}
 #: Tables with a cell for each month.
-MONTHLY = ("sales_cube", "mv_monthly_sales")
+MONTHLY = ("sales_cube", "month_customers", "mv_monthly_sales")
 
 # The seeded product catalogue (ids follow insertion order).
 SEED_PRODUCTS = (
@@ -174,6 +181,22 @@ def cube_of(fact: DataFrame) -> DataFrame:
                  F.sum("total_amount").cast("decimal(22,2)").alias("revenue"), F.count("total_amount").alias("n_amount")))
 
 
+def customers_of(fact: DataFrame) -> DataFrame:
+    """Bitmaps of the customers of facts by (month, region, bucket of 32,768 ids).
+    Ids are made distinct first, in a partial aggregate, so a hot customer is one row
+    per task, and a bitmap is built from at most as many rows as it has bits."""
+    ids = fact.where(F.col("customer_id").isNotNull()).select(
+        F.col("sale_month").alias("month"), "region", F.bitmap_bucket_number("customer_id").alias("bucket"),
+        F.bitmap_bit_position("customer_id").alias("bit")).distinct()
+    return (ids.repartition("month", "region", "bucket").groupBy("month", "region", "bucket")
+            .agg(F.bitmap_construct_agg("bit").alias("bits")))
+
+
+def merged_customers(bitmaps: DataFrame, *keys: str) -> DataFrame:
+    """The bitmaps by other keys: customers in several of the rows count once."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
 def rollup_of(cube: DataFrame, products: DataFrame) -> DataFrame:
     """mv_monthly_sales from the cube and the *current* product dimension.
     The average is carried as sum and count, never as an average of averages."""
@@ -618,15 +641,19 @@ class Warehouse:
         known = self._part("product_months", shelves) if self.cells["product_months"] else None
         again = [] if known is None else known.join(moved, "product_id", "left_semi").select("month").distinct().collect()
         months = sorted(str(r[0]) for r in new_facts.select("sale_month").distinct().collect())
-        if rebuild:
+        if rebuild or (months and self.cells["sales_cube"] and not self.cells["month_customers"]):  # or no bitmaps from an older version
             self._rebuild_cube()
         elif months:
-            cube = cube_of(new_facts)
+            cube, customers = cube_of(new_facts), customers_of(new_facts)
             held = {m: p for m, p in self.cells["sales_cube"].items() if m in set(months)}
             if held:
                 sums = [F.sum(c).cast(SCHEMAS["sales_cube"][c].dataType).alias(c) for c in ("n", "units", "revenue", "n_amount")]
                 cube = self._read_cells("sales_cube", held).unionByName(cube).groupBy(*CUBE_KEYS).agg(*sums)
+                known_bits = {m: p for m, p in self.cells["month_customers"].items() if m in set(months)}
+                customers = merged_customers(self._read_cells("month_customers", known_bits).unionByName(customers), "month", "region")
             self._write_cells("sales_cube", cube, months, F.col("month"))
+            self._write_cells("month_customers", customers, months, F.col("month"))
+
         def pair() -> None:
             if not months:
                 return
@@ -643,12 +670,13 @@ class Warehouse:
         return touched, pair
 
     def _rebuild_cube(self) -> None:
-        """The cube from all facts; every month's rollup is behind then."""
+        """The cube and the bitmaps from all facts; every month's rollup is behind then."""
         facts = self.table("fact_sales")
         months = sorted(str(r[0]) for r in facts.select("sale_month").distinct().collect())
-        self.cells["sales_cube"], self.cells["mv_monthly_sales"], self.pending = {}, {}, months
+        self.cells["sales_cube"], self.cells["month_customers"], self.cells["mv_monthly_sales"], self.pending = {}, {}, {}, months
         if months:
             self._write_cells("sales_cube", cube_of(facts), months, F.col("month"))
+            self._write_cells("month_customers", customers_of(facts), months, F.col("month"))
 
     def refresh_pending(self) -> None:
         """Makes the rollup of the months that are behind, from the cube's folders of these months alone."""

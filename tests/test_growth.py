@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import HEADER, write_csv
 from starfold.operators import key_index
 from starfold.operators.upsert import insert_ignore
+from starfold.plans import reports
 from starfold.plans.batch import run_csv_batch
 from starfold.plans.commits import CommitLog, Files, changed, changes
 from starfold.plans.warehouse import Warehouse, monthly_rollup
@@ -291,3 +292,43 @@ def test_many_quoted_records_in_many_tasks(spark, tmp_path):
         lines.unpersist()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+# -- distinct customers ------------------------------------------------------
+
+def test_distinct_customers_come_from_stored_bitmaps(spark, tmp_path):
+    """Customers of several batches, months and regions count once; reports read no fact; months without new facts keep their folder."""
+    wh = Warehouse.create(spark, root=str(tmp_path / "wh"))
+
+    def counted(by):
+        return wh.table("fact_sales").groupBy(*by).agg(F.countDistinct("customer_id").alias("n"))
+
+    def report_is_exact():
+        regional = reports.v_regional_performance(wh)
+        assert same(regional.select("region", F.col("unique_customers").alias("n")), counted(["region"]))
+        assert reports.dash_kpis(wh).first()["total_customers"] == counted([]).first()["n"]
+        monthly = reports.dash_region_monthly_customers(wh)
+        assert same(monthly.select("month", "region", F.col("customers").alias("n")), counted([F.col("sale_month").alias("month"), "region"]))
+        for df in (regional, reports.dash_kpis(wh), monthly):
+            assert "fact_sales" not in plan(df)
+
+    write_csv(str(tmp_path / "a"), "raw/a.csv", file_of(*(order(i, f"2024-0{1 + i % 3}-05", mail=f"c{i % 7}@x.org") for i in range(60))))
+    run_csv_batch(wh, str(tmp_path / "a"))
+    report_is_exact()
+    before = dict(wh.cells["month_customers"])
+    write_csv(str(tmp_path / "b"), "raw/b.csv", file_of(*(order(100 + i, "2024-02-07", mail=f"c{i}@x.org") for i in range(12))))
+    run_csv_batch(wh, str(tmp_path / "b"), refresh="none")
+    report_is_exact()
+    changed_months = {m for m, p in wh.cells["month_customers"].items() if before.get(m) != p}
+    assert changed_months == {"2024-02-01"}
+    held = wh.table("month_customers").withColumn("c", F.bitmap_count("bits")).drop("bits")
+    rows = held.collect()
+    wh.refresh(full=True)  # the bitmaps made anew from all facts are those that the batches added up to
+    assert sorted(rows) == sorted(wh.table("month_customers").withColumn("c", F.bitmap_count("bits")).drop("bits").collect())
+
+
+def test_reports_of_an_empty_warehouse(spark, tmp_path):
+    wh = Warehouse.create(spark, root=str(tmp_path / "wh"))
+    assert reports.v_regional_performance(wh).count() == 0
+    assert tuple(reports.dash_kpis(wh).first()) == (None, 0, 0)
+    assert reports.dash_region_channel_pivot(wh).count() == 0 and reports.dash_error_files(wh).count() == 0
