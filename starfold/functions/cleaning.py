@@ -67,7 +67,11 @@ def to_number(c: Column) -> Column:
     ``NUMBER_PATTERN``).  Spark's cast also takes forms a CSV reader does not
     (``1d``, ``1f``, hex), so the cast result is kept only for text made of
     number characters, or for an infinity word; no regex per value."""
-    t = strip_text(c)
+    return stripped_number(strip_text(c))
+
+
+def stripped_number(t: Column) -> Column:
+    """``to_number`` of text that is stripped already."""
     plain = F.translate(t, NUMBER_CHARS, "") == F.lit("")
     return F.when(plain | F.lower(t).isin(*INFINITY_WORDS), t.try_cast("double"))
 
@@ -152,12 +156,13 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
 
     # 2. parses, once per column
     numeric = ("quantity", "product_id", "unit_price", "discount_pct", "total_amount", "region", "channel")
+    st = st.select("*", *[strip_text(col(f"{c}_s")).alias(f"{c}_t") for c in numeric])
     st = st.select(
         "*",
-        *[to_number(col(f"{c}_s")).alias(f"{c}_n") for c in numeric],
-        strip_text(col("unit_price_s")).try_cast("decimal(10,2)").alias("_price_dec"),
-        strip_text(col("discount_pct_s")).try_cast("decimal(5,2)").alias("_disc_dec"),
-        strip_text(col("total_amount_s")).try_cast("decimal(12,2)").alias("_total_dec"),
+        *[stripped_number(col(f"{c}_t")).alias(f"{c}_n") for c in numeric],
+        col("unit_price_t").try_cast("decimal(10,2)").alias("_price_dec"),
+        col("discount_pct_t").try_cast("decimal(5,2)").alias("_disc_dec"),
+        col("total_amount_t").try_cast("decimal(12,2)").alias("_total_dec"),
         (parse_by_format(col("sale_date_s"), col("_date_format")) if by_file
          else parse_date(col("sale_date_s"), date_format)).alias("sale_date"),
     )
@@ -170,8 +175,8 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
         col("order_id_s").alias("order_id"), "sale_date",
         fill(col("customer_name_s")).alias("customer_name"),
         fill(col("customer_email_s")).alias("email"),
-        F.coalesce(strip_text(col("region_s")), F.lit(UNKNOWN)).alias("region"),
-        F.coalesce(strip_text(col("channel_s")), F.lit(UNKNOWN)).alias("channel"),
+        F.coalesce(col("region_t"), F.lit(UNKNOWN)).alias("region"),
+        F.coalesce(col("channel_t"), F.lit(UNKNOWN)).alias("channel"),
         pid_long.alias("_pid_long"),
         fill(col("product_name_s")).alias("product_name"),
         fill(col("category_s")).alias("category"),
@@ -187,7 +192,7 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
         is_infinite(col("quantity_n")).alias("_qty_inf"),
         (col("product_id_s").isNotNull() & col("product_id_n").isNull()).alias("_pid_text"),
         (col("product_id_n").isNotNull()
-         & (F.translate(strip_text(col("product_id_s")), "0123456789+-", "") != F.lit(""))
+         & (F.translate(col("product_id_t"), "0123456789+-", "") != F.lit(""))
          ).alias("_pid_fraction"),
         (col("unit_price_n").isNotNull() & col("_price_dec").isNull()).alias("_price_over"),
         (col("discount_pct_n").isNotNull() & col("_disc_dec").isNull()).alias("_disc_over"),

@@ -1,6 +1,6 @@
 """First- and last-arrival per key as aggregates, not windows.
 
-``min_by``/``max_by`` are declarative aggregates, so Spark runs them as a
+The extreme of a struct that begins with the order is a declarative aggregate, so Spark runs it as a
 partial (map-side) aggregate before the shuffle: a key that holds a third of
 all rows collapses to one row per input partition before it is exchanged.
 With a struct payload the aggregate is sort-based (a struct buffer does not
@@ -21,8 +21,9 @@ def _pick(df: DataFrame, keys: Sequence[str], order: str, last: bool,
           keep_first_seen: str | None) -> DataFrame:
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys and c != order]
-    rec = F.struct(*[F.col(c) for c in payload], F.col(order).alias(order))
-    pick = F.max_by(rec, F.col(order)) if last else F.min_by(rec, F.col(order))
+    # the order comes first in the struct, so its extreme is the row, and the buffer holds the order once
+    rec = F.struct(F.col(order).alias(order), *[F.col(c) for c in payload])
+    pick = F.max(rec) if last else F.min(rec)
     aggs = [pick.alias("_w")]
     if keep_first_seen:
         aggs.append(F.min(order).alias(keep_first_seen))

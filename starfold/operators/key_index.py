@@ -32,9 +32,11 @@ def _bits(key: Column) -> list[Column]:
 
 
 def filter_of(keys: DataFrame, key: str, n: int) -> DataFrame:
-    """(block, bits) of a folder's n keys. Bits are set before the shuffle, a bitmap for each block."""
+    """(block, bits) of a folder's n keys. The keys are dealt by block, and the bits are set where a block's keys are: a bitmap
+    before the shuffle would be one of each block in each task, tasks times blocks of them."""
     level = level_for(n)
-    each = keys.select(_block(F.col(key), level).alias("block"), F.explode(F.array(*_bits(F.col(key)))).alias("bit"))
+    dealt = keys.select(_block(F.col(key), level).alias("block"), F.col(key).alias("_key")).repartition("block")
+    each = dealt.select("block", F.explode(F.array(*_bits(F.col("_key")))).alias("bit"))
     return each.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
@@ -53,10 +55,9 @@ def folders_with(spark: SparkSession, keys: DataFrame, key: str, filters: Sequen
         paths = [path for own, path in filters if own == level]
         blocks = spark.read.schema("block int, bits binary").parquet(*paths)
         blocks = blocks.select("block", "bits", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("folder"))
-        asked = keys.select(_block(F.col(key), level).alias("block"), *(b.alias(f"b{i}") for i, b in enumerate(_bits(F.col(key)))))
-        hit = asked.join(blocks, "block")
-        for i in range(HASHES):
-            hit = hit.where(_set(F.col("bits"), F.col(f"b{i}")))
+        hit = keys.select(_block(F.col(key), level).alias("block"), F.col(key).alias("_key")).join(blocks, "block")
+        for bit in _bits(F.col("_key")):
+            hit = hit.where(_set(F.col("bits"), bit))
         names = {r["folder"] for r in hit.select("folder").distinct().collect()}
         found |= {p for p in paths if p.rstrip("/").rpartition("/")[2] in names}
     return found

@@ -31,7 +31,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
            now: Column | None = None, id_order: str | None = None,
            id_base: int | None = None, cached: list | None = None,
            counted: list | None = None, reduced: bool = False) -> DataFrame:
-    """``reduced``: ``incoming`` has one row per key already, with ``_first_seen``.  ``id_order="_first_seen"`` numbers new keys by first arrival (one
+    """``reduced``: ``incoming`` has one row per key already, with ``_first_seen`` where ``id_order`` names it.  ``id_order="_first_seen"`` numbers new keys by first arrival (one
     extra range-partitioning pass); ids are otherwise dense but unordered."""
     keys, update_cols = list(keys), list(update_cols)
     now = now if now is not None else F.current_timestamp()

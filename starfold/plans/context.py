@@ -17,10 +17,9 @@ import functools
 import os
 import threading
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import apply_runtime_conf
+from ..session import apply_runtime_conf, fresh_path, size_partitions
 from ..sources.sales_drop import derive_drop, split_drop
 from .reports import register_views
 from .warehouse import BatchReport, Warehouse
@@ -48,15 +47,22 @@ class Run:
 
     @_once
     def drop(self) -> DataFrame:
-        """The derived drop, kept (memory, spilling to disk) because the
-        one-run load, both halves of the two-run load and the CSV writers
-        all read it; a lost partition is re-derived from the tables."""
-        return derive_drop(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        """The derived drop, stored by column because both halves of the
+        two-run load, the replay and the CSV writers all read it."""
+        path, drop = fresh_path(self.spark, "drop"), derive_drop(self.spark, self.sf_dir)
+        drop.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(drop.schema).parquet(path)
+
+    @property
+    def drop_once(self) -> DataFrame:
+        """The drop for a single reading: as it is derived, unless it is stored already."""
+        with self._lock:
+            return self.drop if "drop" in self._memo else derive_drop(self.spark, self.sf_dir)
 
     @_once
     def one(self) -> tuple[Warehouse, BatchReport]:
         wh = Warehouse.create(self.spark)
-        report = wh.load(self.drop, refresh="full")
+        report = wh.load(self.drop_once, refresh="full")
         register_views(wh)
         return wh, report
 
@@ -91,5 +97,6 @@ def run_for(spark: SparkSession, sf_dir: str) -> Run:
     with _RUNS_LOCK:
         if key not in _RUNS:
             apply_runtime_conf(spark)
+            size_partitions(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
             _RUNS[key] = Run(spark, sf_dir)
         return _RUNS[key]

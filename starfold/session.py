@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.maxMetadataStringLength": "1000",
+    # HotSpot compiles no method above 8,000 bytes of bytecode: a larger one, as the cleaning makes, would be interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -53,6 +56,30 @@ def apply_runtime_conf(spark: SparkSession) -> None:
                 pass
 
 
+# Of compressed column files, what one task of a join or sort takes without spilling (some 250,000 line items)
+BYTES_PER_PARTITION = 4 << 20
+# Sizes that scans and AQE may not go beyond, for the same reason: a compressed megabyte is several in a sort
+LARGEST = {"spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20}
+
+
+def _bytes(text: str) -> int:
+    """A size as Spark's settings have it: 134217728b, 64MB, 16m."""
+    number = text.strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
+
+
+def size_partitions(spark: SparkSession, table: str) -> None:
+    """As many shuffle partitions to begin with as the size of the largest table asks for (AQE puts small ones together),
+    and scan and shuffle tasks of at most ``LARGEST``.  Settings that are finer already stay."""
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table).agg({"length": "sum"}).first()[0]
+    own = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size or 0) // BYTES_PER_PARTITION))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))
+    for key, most in LARGEST.items():
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created only for local sessions."""
     sc = spark.sparkContext

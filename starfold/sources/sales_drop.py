@@ -48,16 +48,12 @@ def _rule(*cases, default: Column) -> Column:
     return out.otherwise(default)
 
 
-def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> region name.  nation (25 rows) and region (5 rows) are
+def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> region name.  nation (25 rows) and region (5 rows) are
     fixed-size by the TPC-H specification, so broadcasting them is bounded."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (supplier.join(F.broadcast(geo.select("n_nationkey", "r_name")),
-                          supplier.s_nationkey == F.col("n_nationkey"))
-            .select("s_suppkey", "r_name"))
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
 
 
 def derive_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,12 +64,16 @@ def derive_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # Equi-joins on the TPC-H keys; AQE turns any side that proves small at
-    # runtime into a broadcast and keeps sort-merge joins otherwise.
-    rows = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(cust, F.col("o_custkey") == cust.c_custkey)
+    # runtime into a broadcast and keeps sort-merge joins otherwise.  Customers meet
+    # the orders, of which there are fewer, and the line items are dealt by order and by part only.  Parts come last of
+    # the two: the rows of a part then lie together, and its texts are told once.
+    buyers = orders.join(cust, F.col("o_custkey") == cust.c_custkey).select("o_orderkey", "o_orderpriority", "c_name")
+    rows = (li.join(buyers, li.l_orderkey == F.col("o_orderkey"))
               .join(part, li.l_partkey == part.p_partkey)
-              .join(supplier_regions(spark, sf_dir), li.l_suppkey == F.col("s_suppkey")))
+              .join(supplier, li.l_suppkey == F.col("s_suppkey"))
+              .join(F.broadcast(nation_regions(spark, sf_dir)), F.col("s_nationkey") == F.col("n_nationkey")))
 
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
