@@ -31,7 +31,7 @@ def _memo(r: Run, name: str, make):
 def _clean_root(r: Run) -> str:
     def make():
         root = fresh_path(r.spark, "csv-clean")
-        csv_drop.write_drop(r.drop, root)
+        csv_drop.write_drop(r.drop_once, root)
         return root
     return _memo(r, "_clean_root", make)
 
@@ -103,16 +103,23 @@ def csv_roundtrip(r: Run) -> DataFrame:
     """Written drop versus the drop read back (text missing either way is
     NULL on both sides, as a CSV reader sees it): counts of rows only on one
     side must be zero."""
+    written = r.drop  # stored before the writing, which then reads it too
     recs, _ = csv_drop.read_drop(r.spark, _clean_root(r))
-    norm = lambda df: df.select(*[F.when(F.col(c) != "", F.col(c)).alias(c)
-                                  for c in REQUIRED_COLUMNS])
-    written, read = norm(r.drop), norm(recs)
-    only_written = written.exceptAll(read).agg(F.count(F.lit(1)).alias("only_written"))
-    return only_written.select(
-        written.agg(F.count(F.lit(1))).scalar().alias("written"),
-        read.agg(F.count(F.lit(1))).scalar().alias("read"),
-        "only_written",
-        read.exceptAll(written).agg(F.count(F.lit(1))).scalar().alias("only_read"))
+    return compared(_as_read(written), _as_read(recs))
+
+
+def compared(written: DataFrame, read: DataFrame) -> DataFrame:
+    """Two multisets of text rows: their sizes, and how many rows each has more of than the other (as ``exceptAll``
+    counts them).  Each side is read once, and one shuffle moves 32 bytes a row: the SHA-256 of its values, each with
+    its length before it, so that different rows have different texts."""
+    def signed(df: DataFrame, side: str) -> DataFrame:
+        values = [F.when(F.col(c).isNull(), "-").otherwise(F.concat(F.length(c), F.lit(":"), F.col(c))) for c in df.columns]
+        return df.select(F.unhex(F.sha2(F.concat(*values), 256)).alias("_row"), F.lit(int(side == "written")).alias("_w"), F.lit(int(side == "read")).alias("_r"))
+    each = signed(written, "written").unionByName(signed(read, "read")).groupBy("_row").agg(F.sum("_w").alias("_w"), F.sum("_r").alias("_r"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    more = lambda a, b: F.greatest(F.col(a) - F.col(b), F.lit(0))
+    return each.agg(total("_w").alias("written"), total("_r").alias("read"),
+                    total(more("_w", "_r")).alias("only_written"), total(more("_r", "_w")).alias("only_read"))
 
 
 def dash_run_history(r: Run) -> DataFrame:
