@@ -27,8 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import NA_TOKENS, date_format_of
+from ..session import checkpoint_root
 from .sales_drop import REQUIRED_COLUMNS
 
+# what is kept of a scanned line
+LINE_COLUMNS = ("value", "source_file", "_block", "_row")
 # quotes doubled inside quoted fields; values kept byte for byte (Spark's
 # writer would otherwise trim leading and trailing blanks)
 _CSV_OPTS = {"escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
@@ -70,10 +73,37 @@ def field_count(line: str) -> F.Column:
     return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def _first_of(rows: DataFrame, *more: F.Column) -> DataFrame:
+    """(source_file, _first, more): the place of each file's first row.  Taken by block and then by file, as numbers
+    that fit a hash aggregate: the least of a struct would sort all lines."""
+    blocks = rows.groupBy("source_file", "_block").agg(F.min("_row").alias("_row"), *more)
+    names = [c for c in blocks.columns if c not in ("source_file", "_block", "_row")]
+    return blocks.groupBy("source_file").agg(F.min(F.struct("_block", "_row")).alias("_first"), *[F.sum(c).alias(c) for c in names])
+
+
+def _at(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """The lines in these places (source_file, _first and more), one of each file at most.  The files are those that the
+    driver has listed, which bounds the broadcast."""
+    key = places.withColumnRenamed("source_file", "_file")
+    here = ((F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_first._block")) & (F.col("_row") == F.col("_first._row")))
+    return lines.join(F.broadcast(key), here).drop("_file")
+
+
 def _headers(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("source_file").agg(
-        F.min_by("value", "_pos").alias("header"), F.min("_pos").alias("_first"),
-        F.count(F.lit(1)).alias("_lines"))
+    found = _at(lines, _first_of(lines, F.count(F.lit(1)).alias("_lines")))
+    return found.select("source_file", F.col("value").alias("header"), "_first", "_lines")
+
+
+def _below_header(lines: DataFrame, about: DataFrame) -> DataFrame:
+    """The lines that are not their file's header, with what is known of the file."""
+    rows = lines.join(F.broadcast(about), "source_file")
+    return rows.filter((F.col("_block") != F.col("_first._block")) | (F.col("_row") != F.col("_first._row")))
+
+
+def _small(per_file: DataFrame) -> DataFrame:
+    """A table of one row per file, made once."""
+    checkpoint_root(per_file.sparkSession)
+    return per_file.checkpoint(eager=True)
 
 
 def parse_width(headers: DataFrame) -> int:
@@ -150,12 +180,13 @@ def quoted_records(text: DataFrame, run: int = 4096) -> DataFrame:
     return out.withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
-def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None = None) -> DataFrame:
+def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None = None, headers: DataFrame | None = None) -> DataFrame:
     """One row per file: header, records, missing columns, ragged, verdict,
     and the date format that the file's first date shows.  ``columns`` keeps
     the position of every header field, an unnamed one as NULL."""
-    per_file = _headers(lines)
+    per_file = headers if headers is not None else _small(_headers(lines))  # joined twice below
     width = width or parse_width(per_file)
+    per_file = per_file.checkpoint(eager=True)  # one row per file, read by both joins below
     req = F.array(*[F.lit(c) for c in required])
     named = with_fields(per_file, "header", width, "_h").withColumn("columns", F.slice("_h", 1, field_count("header")))
     checks = named.select(
@@ -163,13 +194,20 @@ def file_checks(lines: DataFrame, required=REQUIRED_COLUMNS, width: int | None =
         (F.col("_lines") - 1).alias("n_records"),
         F.array_sort(F.array_except(req, "columns")).alias("missing_columns"))
     # records wider than their header, a surplus empty field included
-    recs = lines.join(checks.select("source_file", "_first", F.size("columns").alias("_width"),
-                                    F.array_position("columns", "sale_date").cast("int").alias("_date_at")), "source_file")
-    recs = with_fields(recs.filter(F.col("_pos") != F.col("_first")), "value", width)
+    about = checks.select("source_file", "_first", F.size("columns").alias("_width"),
+                          F.array_position("columns", "sale_date").cast("int").alias("_date_at"))
+    recs = with_fields(_below_header(lines, about), "value", width)
     date = F.get("_f", F.col("_date_at") - 1)
-    per_record = recs.select("source_file", (field_count("value") > F.col("_width")).alias("_wide"),
-                             F.when(date.isNotNull() & ~date.isin(*NA_TOKENS), F.struct("_pos", date.alias("date"))).alias("_dated"))
-    found = per_record.groupBy("source_file").agg(F.bool_or("_wide").alias("ragged"), F.min("_dated")["date"].alias("_date"))
+    dated = F.when(date.isNotNull() & ~date.isin(*NA_TOKENS), F.col("_row"))
+    blocks = recs.select("source_file", "_block", dated.alias("_dated"), (field_count("value") > F.col("_width")).cast("int").alias("_wide"))
+    blocks = blocks.groupBy("source_file", "_block").agg(F.max("_wide").alias("_wide"), F.min("_dated").alias("_row"))
+    found = blocks.groupBy("source_file").agg(F.max("_wide").alias("_wide"), F.min(F.when(F.col("_row").isNotNull(), F.struct("_block", "_row"))).alias("_dated"))
+    found = _small(found)
+    # the first dated record of each file once more, for its date
+    places = found.where(F.col("_dated").isNotNull()).select("source_file", F.col("_dated").alias("_first"))
+    first = _at(lines, places.join(about.select("source_file", "_date_at"), "source_file"))
+    dates = with_fields(first, "value", width).select("source_file", date.alias("_date"))
+    found = found.select("source_file", (F.col("_wide") == 1).alias("ragged")).join(dates, "source_file", "left")
     out = checks.join(found, "source_file", "left").fillna(False, subset=["ragged"])
     reason = (F.when(F.size("missing_columns") > 0,
                      F.concat(F.lit("missing columns: "), F.array_join("missing_columns", ", ")))
@@ -187,9 +225,7 @@ def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_C
     hdr = checks
     if only_valid:
         hdr = hdr.filter(F.col("status") == "valid")
-    # one row per file: AQE broadcasts it unless the file count is huge
-    rows = lines.join(hdr.select("source_file", "_first", "columns", "date_format"), "source_file")
-    rows = with_fields(rows.filter(F.col("_pos") != F.col("_first")), "value", width)
+    rows = with_fields(_below_header(lines, hdr.select("source_file", "_first", "columns", "date_format")), "value", width)
     picked = [F.get(F.col("_f"), F.array_position("columns", c).cast("int") - 1).alias(c) for c in required]
     return rows.select(*picked, "source_file",
                        F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"),
@@ -200,10 +236,12 @@ def scan_drop(spark: SparkSession, root: str, multi_line: bool = False, paths: l
     """(lines, drop of valid files, per-file checks) for the CSV files under
     root.  The scanned lines are persisted: the header table, the checks and
     the records all read them, and the row ids that order records are fixed
-    once; ``lines.unpersist()`` releases them after the load."""
-    lines = scan_lines(spark, root, multi_line, paths).persist(StorageLevel.MEMORY_AND_DISK)
-    width = parse_width(_headers(lines))
-    checks = file_checks(lines, width=width)
+    once; ``lines.unpersist()`` releases them after the load.  Headers and checks
+    have one row per file and are made once."""
+    lines = scan_lines(spark, root, multi_line, paths).select(*LINE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    headers = _small(_headers(lines))
+    width = parse_width(headers)
+    checks = _small(file_checks(lines, width=width, headers=headers))
     return lines, records(lines, checks, width), checks
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.warehouse import Warehouse
-from ..sources.csv_drop import _headers, file_checks, file_path, parse_width, records, text_lines
+from ..sources.csv_drop import LINE_COLUMNS, _headers, file_checks, file_path, parse_width, records, text_lines
 
 
 def line_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,9 +44,10 @@ def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpo
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         # row ids are fixed here, inside the batch, where a non-streaming plan allows them
-        lines = text_lines(batch, root).persist(StorageLevel.MEMORY_AND_DISK)
-        width = parse_width(_headers(lines))
-        checks = file_checks(lines, width=width).checkpoint(eager=True)  # one row per file
+        lines = text_lines(batch, root).select(*LINE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        headers = _headers(lines).checkpoint(eager=True)  # these two have one row per file
+        width = parse_width(headers)
+        checks = file_checks(lines, width=width, headers=headers).checkpoint(eager=True)
         report = wh.load(records(lines, checks, width), refresh="incremental", invalid=checks.filter(F.col("status") == "invalid"),
                          only_new=True, stream=(checkpoint, epoch_id))
         if report:
