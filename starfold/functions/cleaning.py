@@ -58,7 +58,7 @@ def strip_text(c: Column) -> Column:
     return F.trim(c, F.lit(STRIP_CHARS))
 
 
-NUMBER_CHARS = "0123456789.+-eE"
+PLAIN_NUMBER = r"\A[0-9.+eE-]*+\z"
 INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
@@ -66,13 +66,13 @@ def to_number(c: Column) -> Column:
     """double, or NULL when the text is not a number (the same language as
     ``NUMBER_PATTERN``).  Spark's cast also takes forms a CSV reader does not
     (``1d``, ``1f``, hex), so the cast result is kept only for text made of
-    number characters, or for an infinity word; no regex per value."""
+    number characters, or for an infinity word."""
     return stripped_number(strip_text(c))
 
 
 def stripped_number(t: Column) -> Column:
     """``to_number`` of text that is stripped already."""
-    plain = F.translate(t, NUMBER_CHARS, "") == F.lit("")
+    plain = t.rlike(PLAIN_NUMBER)
     return F.when(plain | F.lower(t).isin(*INFINITY_WORDS), t.try_cast("double"))
 
 
@@ -192,7 +192,7 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
         is_infinite(col("quantity_n")).alias("_qty_inf"),
         (col("product_id_s").isNotNull() & col("product_id_n").isNull()).alias("_pid_text"),
         (col("product_id_n").isNotNull()
-         & (F.translate(col("product_id_t"), "0123456789+-", "") != F.lit(""))
+         & ~col("product_id_t").rlike(r"\A[0-9+-]*+\z")
          ).alias("_pid_fraction"),
         (col("unit_price_n").isNotNull() & col("_price_dec").isNull()).alias("_price_over"),
         (col("discount_pct_n").isNotNull() & col("_disc_dec").isNull()).alias("_disc_over"),

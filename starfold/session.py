@@ -58,8 +58,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 # Of compressed column files, what one task of a join or sort takes without spilling (some 250,000 line items)
 BYTES_PER_PARTITION = 4 << 20
-# Sizes that scans and AQE may not go beyond, for the same reason: a compressed megabyte is several in a sort
-LARGEST = {"spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20}
+# What a scan's task reads at most, for the same reason: a compressed megabyte of columns is several in a sort
+LARGEST_SCAN = 32 << 20
 
 
 def _bytes(text: str) -> int:
@@ -71,13 +71,12 @@ def _bytes(text: str) -> int:
 
 def size_partitions(spark: SparkSession, table: str) -> None:
     """As many shuffle partitions to begin with as the size of the largest table asks for (AQE puts small ones together),
-    and scan and shuffle tasks of at most ``LARGEST``.  Settings that are finer already stay."""
+    and scan tasks of at most ``LARGEST_SCAN``.  Settings that are finer already stay."""
     size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table).agg({"length": "sum"}).first()[0]
     own = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size or 0) // BYTES_PER_PARTITION))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))
-    for key, most in LARGEST.items():
-        if _bytes(spark.conf.get(key)) > most:
-            spark.conf.set(key, str(most))
+    if _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) > LARGEST_SCAN:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(LARGEST_SCAN))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

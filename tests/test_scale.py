@@ -76,7 +76,7 @@ def test_key_filter_is_built_where_its_blocks_are(spark):
 
 
 def test_partitions_follow_the_input(spark, tmp_path):
-    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes")
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
         os.makedirs(tmp_path / "t.parquet")
