@@ -137,11 +137,11 @@ def signatures(docs: DataFrame, text: str, doc_id: str, size: int, trees: int, d
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """(u, v): each member of a bucket with a lone text and the bucket's smallest member. reps: (rep, names, lone)."""
+    """(u, v): each member of a bucket with a lone text and the bucket's smallest member, by bucket. reps: (rep, names, lone)."""
     members = reps.select("rep", "lone", F.explode("names").alias("name"))
     heads = members.groupBy("name").agg(F.min("rep").alias("head"), F.max("rep").alias("last"), F.max("lone").alias("lone")).where((F.col("head") != F.col("last")) & F.col("lone")).drop("last", "lone")
     members = members.drop("lone")
-    return members.join(loose(heads), "name").where(F.col("rep") != F.col("head")).select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()
+    return members.join(loose(heads), "name").where(F.col("rep") != F.col("head")).select(F.col("rep").alias("u"), F.col("head").alias("v"))
 
 
 def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -239,8 +239,7 @@ def true_links(docs: DataFrame, members: DataFrame, text: str, doc_id: str, size
 def links_at(docs: DataFrame, reps: DataFrame, nodes: DataFrame, text: str, doc_id: str, size: int, threshold: Fraction) -> DataFrame:
     """(node, links, root), stored: the true links of lone texts by the buckets of one level. reps: (rep, names, lone); nodes:
     (node, copies, n, lone)."""
-    found = stored(components(candidates(reps)), "ngram-candidates")
-    held = stored(found.join(nodes, "node"), "ngram-nodes")
+    held = stored(components(candidates(reps)).join(nodes, "node"), "ngram-nodes")
     sizes = held.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_TEXTS)).cast("long").alias("blocks"))
     members = held.join(loose(sizes), "component").select("node", "component", "copies", "lone", "blocks", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).alias("block"))
     return stored(true_links(docs, members, text, doc_id, size, threshold), "ngram-links")
@@ -261,8 +260,9 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: i
     shortest = min(depth, depth_for(threshold, sure, trees))
     signed = stored(signatures(docs, text, doc_id, size, trees, depth, shortest), "ngram-signatures")
     full = signed.where(F.col("n") > 0)
-    same = stored(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "ngram-classes")
-    reps = full.select("f1", "f2", F.col("doc_id").alias("rep"), "names").join(same.select("f1", "f2", "rep"), ["f1", "f2", "rep"])
+    # equal sets have equal names
+    same = stored(full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"), F.first("names").alias("names")), "ngram-classes")
+    reps = same.select("rep", "names")
     nodes = same.groupBy("rep").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n")).withColumnRenamed("rep", "node")
     links = None
     for level in range(depth, shortest - 1, -1):
