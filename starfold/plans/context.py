@@ -19,7 +19,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import apply_runtime_conf, fresh_path, size_partitions
+from ..session import BYTES_PER_SLICE, apply_runtime_conf, fresh_path, size_partitions
 from ..sources.sales_drop import derive_drop, split_drop
 from .reports import register_views
 from .warehouse import BatchReport, Warehouse
@@ -40,8 +40,9 @@ def _once(fn):
 
 
 class Run:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, size: int = 0):
         self.spark, self.sf_dir = spark, sf_dir
+        self.slices = max(1, -(-size // BYTES_PER_SLICE))  # jobs that the drop is written as text in
         self._lock = threading.RLock()
         self._memo: dict = {}
 
@@ -97,6 +98,6 @@ def run_for(spark: SparkSession, sf_dir: str) -> Run:
     with _RUNS_LOCK:
         if key not in _RUNS:
             apply_runtime_conf(spark)
-            size_partitions(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-            _RUNS[key] = Run(spark, sf_dir)
+            size = size_partitions(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+            _RUNS[key] = Run(spark, sf_dir, size)
         return _RUNS[key]

@@ -31,7 +31,7 @@ def _memo(r: Run, name: str, make):
 def _clean_root(r: Run) -> str:
     def make():
         root = fresh_path(r.spark, "csv-clean")
-        csv_drop.write_drop(r.drop_once, root)
+        csv_drop.write_drop(r.drop_once, root, slices=r.slices)
         return root
     return _memo(r, "_clean_root", make)
 
@@ -39,7 +39,7 @@ def _clean_root(r: Run) -> str:
 def _messy_root(r: Run) -> str:
     def make():
         root = fresh_path(r.spark, "csv-messy")
-        csv_drop.write_messy_drop(r.drop, root)
+        csv_drop.write_messy_drop(r.drop_once, root, slices=r.slices)
         return root
     return _memo(r, "_messy_root", make)
 

@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.sql.maxMetadataStringLength": "1000",
     # HotSpot compiles no method above 8,000 bytes of bytecode: a larger one, as the cleaning makes, would be interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # the files of a query's shuffles go with the query; else they stay until the driver's next full collection finds them unused
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -60,6 +62,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 BYTES_PER_PARTITION = 4 << 20
 # What a scan's task reads at most, for the same reason: a compressed megabyte of columns is several in a sort
 LARGEST_SCAN = 32 << 20
+# Of the largest table's compressed files, what one job turns into text: its shuffles are on disk beside the text written so far
+BYTES_PER_SLICE = 1536 << 20
 
 
 def _bytes(text: str) -> int:
@@ -69,14 +73,22 @@ def _bytes(text: str) -> int:
     return int(number[:-1] if unit else number) << unit
 
 
-def size_partitions(spark: SparkSession, table: str) -> None:
+def size_partitions(spark: SparkSession, table: str) -> int:
     """As many shuffle partitions to begin with as the size of the largest table asks for (AQE puts small ones together),
-    and scan tasks of at most ``LARGEST_SCAN``.  Settings that are finer already stay."""
-    size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table).agg({"length": "sum"}).first()[0]
-    own = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size or 0) // BYTES_PER_PARTITION))
+    and scan tasks of at most ``LARGEST_SCAN``.  Settings that are finer already stay.  Returns the table's bytes."""
+    size = int(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table).agg({"length": "sum"}).first()[0] or 0)
+    own = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_PARTITION))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(own))
     if _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) > LARGEST_SCAN:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(LARGEST_SCAN))
+    return size
+
+
+def fix_splits(spark: SparkSession) -> None:
+    """Scans of the same files are cut in the same way from here on, whatever executors come or go: the least number of
+    tasks would else follow the cores of the moment."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

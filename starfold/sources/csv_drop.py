@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import NA_TOKENS, date_format_of
-from ..session import checkpoint_root
+from ..session import checkpoint_root, fix_splits
 from .sales_drop import REQUIRED_COLUMNS
 
 # what is kept of a scanned line
@@ -232,23 +232,30 @@ def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_C
                        F.col("date_format").alias("_date_format"))
 
 
+def _checked(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(drop of valid files, per-file checks) of scanned lines.  Headers and checks have one row per file and are made once."""
+    headers = _small(_headers(lines))
+    width = parse_width(headers)
+    checks = _small(file_checks(lines, width=width, headers=headers))
+    return records(lines, checks, width), checks
+
+
 def scan_drop(spark: SparkSession, root: str, multi_line: bool = False, paths: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lines, drop of valid files, per-file checks) for the CSV files under
     root.  The scanned lines are persisted: the header table, the checks and
     the records all read them, and the row ids that order records are fixed
-    once; ``lines.unpersist()`` releases them after the load.  Headers and checks
-    have one row per file and are made once."""
+    once; ``lines.unpersist()`` releases them after the load."""
     lines = scan_lines(spark, root, multi_line, paths).select(*LINE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    headers = _small(_headers(lines))
-    width = parse_width(headers)
-    checks = _small(file_checks(lines, width=width, headers=headers))
-    return lines, records(lines, checks, width), checks
+    return lines, *_checked(lines)
 
 
 def read_drop(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(drop of valid files, per-file checks) for the CSV files under root."""
-    _, drop, checks = scan_drop(spark, root)
-    return drop, checks
+    """(drop of valid files, per-file checks) for the CSV files under root,
+    which must stay as they are: nobody would release a copy of all lines, so
+    each step reads the files again.  One listing and splits of one size give
+    a line the same row id each time."""
+    fix_splits(spark)
+    return _checked(scan_lines(spark, root).select(*LINE_COLUMNS))
 
 
 # ---- writing drops -----------------------------------------------------------
@@ -257,28 +264,38 @@ def _month_part(df: DataFrame) -> DataFrame:
     return df.withColumn("part", F.regexp_extract("source_file", r"sales_([0-9]{4}_[0-9]{2})", 1))
 
 
-def write_drop(drop: DataFrame, root: str, columns=REQUIRED_COLUMNS) -> str:
+def _sliced(df: DataFrame, slices: int) -> list[DataFrame]:
+    """The rows by hash of their month.  Each slice is written by a job of its own, of whose input only these months are
+    shuffled, and whose shuffles are gone before the next; a month is in one slice, so its files are the same."""
+    if slices == 1:
+        return [df]
+    return [df.filter(F.pmod(F.xxhash64("part"), F.lit(slices)) == i) for i in range(slices)]
+
+
+def write_drop(drop: DataFrame, root: str, columns=REQUIRED_COLUMNS, slices: int = 1) -> str:
     """One folder of CSV files per ship month under ``<root>/raw``; each file
     carries its own header.  Rebalancing keeps the file count per month low
     and lets AQE split a hot month across tasks."""
     out = f"{root.rstrip('/')}/raw"
-    (_month_part(drop).select(*columns, "part").hint("rebalance", "part")
-     .write.mode("error").partitionBy("part").options(header=True, **_CSV_OPTS).csv(out))
+    for i, rows in enumerate(_sliced(_month_part(drop), slices)):
+        (rows.select(*columns, "part").hint("rebalance", "part")
+         .write.mode("append" if i else "error").partitionBy("part").options(header=True, **_CSV_OPTS).csv(out))
     return out
 
 
-def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+def _write_lines(lines: DataFrame, header: str, path: str, slices: int = 1) -> None:
     """Write pre-formatted CSV lines (column ``line``) under ``path`` with a
     literal header.  The lines are already CSV, so the writer gets a
     separator and quote that never occur and leaves the text untouched."""
-    (lines.select(F.col("line").alias(header), "part").hint("rebalance", "part")
-     .write.mode("append").partitionBy("part").option("header", True)
-     .option("sep", "\u0001").option("quote", "\u0000").option("escapeQuotes", False)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+    for rows in _sliced(lines, slices):
+        (rows.select(F.col("line").alias(header), "part").hint("rebalance", "part")
+         .write.mode("append").partitionBy("part").option("header", True)
+         .option("sep", "\u0001").option("quote", "\u0000").option("escapeQuotes", False)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
 
 
-def write_messy_drop(drop: DataFrame, root: str) -> str:
+def write_messy_drop(drop: DataFrame, root: str, slices: int = 1) -> str:
     """A drop whose files exercise every structural rule, derived from the
     data itself (month number m of the ship month):
 
@@ -287,6 +304,8 @@ def write_messy_drop(drop: DataFrame, root: str) -> str:
     * m = 7            records of line number 1 carry one surplus field -> invalid
     * ``raw/empty/``   one header-only file                     -> invalid
     * every other month is a normal file                        -> valid
+
+    Each kind is written by a job of its own, that of the normal files in ``slices``.
     """
     out = f"{root.rstrip('/')}/raw"
     d = _month_part(drop).withColumn("_m", F.substring("part", 6, 2).cast("int"))
@@ -294,7 +313,7 @@ def write_messy_drop(drop: DataFrame, root: str) -> str:
     line = lambda cs: F.to_csv(F.struct(*[F.col(c) for c in cs]), _CSV_OPTS)
 
     normal = d.filter(~F.col("_m").isin(1, 6, 7, 11, 12))
-    _write_lines(normal.select(line(cols).alias("line"), "part"), ",".join(cols), out)
+    _write_lines(normal.select(line(cols).alias("line"), "part"), ",".join(cols), out, slices)
 
     no_channel = [c for c in cols if c != "channel"]
     _write_lines(d.filter(F.col("_m").isin(1, 6, 11)).select(line(no_channel).alias("line"), "part"),
