@@ -97,8 +97,8 @@ def total_amount(quantity: Column, unit_price: Column, discount: Column) -> Colu
     return exact.try_cast("decimal(12,2)")
 
 
-def parse_date(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    d = F.try_to_date(c, fmt)
+def representable(d: Column) -> Column:
+    """The date, or NULL outside the reference's timestamp type.  Reads its date more than once: a column, not a parse."""
     return F.when(d.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), d)
 
 
@@ -120,7 +120,7 @@ def parse_by_format(c: Column, fmt: Column) -> Column:
     """Dates of files with different forms: each row by the form of its file."""
     out = F.lit(None).cast("date")
     for known in reversed(DATE_FORMATS):
-        out = F.when(fmt == known, parse_date(c, known)).otherwise(out)
+        out = F.when(fmt == known, F.try_to_date(c, known)).otherwise(out)
     return out
 
 
@@ -164,8 +164,8 @@ def annotate(raw: DataFrame, date_format: str = "yyyy-MM-dd",
         col("discount_pct_t").try_cast("decimal(5,2)").alias("_disc_dec"),
         col("total_amount_t").try_cast("decimal(12,2)").alias("_total_dec"),
         (parse_by_format(col("sale_date_s"), col("_date_format")) if by_file
-         else parse_date(col("sale_date_s"), date_format)).alias("sale_date"),
-    )
+         else F.try_to_date(col("sale_date_s"), date_format)).alias("sale_date"),
+    ).withColumn("sale_date", representable(col("sale_date")))
 
     # 3. typed values and row flags
     qty_long = F.coalesce(col("quantity_n"), F.lit(float(DEFAULT_QUANTITY))).try_cast("long")

@@ -145,7 +145,7 @@ def stream_ingest(r: Run) -> DataFrame:
         root = _clean_root(r)
         wh = Warehouse.create(r.spark)
         file_stream.ingest(r.spark, root, f"{root}/raw/*/*.csv", wh,
-                           checkpoint=fresh_path(r.spark, "stream-ckpt"), max_files_per_trigger=20)
+                           checkpoint=fresh_path(r.spark, "stream-ckpt"), max_files_per_trigger=20, keep_commits=2)
         return wh
     wh = _memo(r, "_stream_wh", make)
     return wh.table("fact_sales").select("order_id", "sale_date", "product_id", "quantity",

@@ -242,6 +242,12 @@ def together(spark: SparkSession, *steps: Callable) -> list:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
 
 
+def folders_of(parts: dict[str, list[dict]], cells: dict[str, dict]) -> set[str]:
+    """The folders that these entries of a state, or of what changed in it, name."""
+    rows = {f for entries in parts.values() for p in entries for f in (p["path"], p.get("filter", ""))}
+    return rows | {path.rpartition("/")[0] for own in cells.values() for path in own.values() if path}
+
+
 class Warehouse:
     """The tables as of one commit; every change writes new folders, and a
     commit names those that count."""
@@ -448,24 +454,26 @@ class Warehouse:
             self._catch_up()
         return done
 
-    def vacuum(self, keep: int = 2, older_than: float = 24 * 3600) -> list[str]:
+    def vacuum(self, keep: int = 2, older_than: float = 24 * 3600, superseded: bool = False) -> list[str]:
         """Deletes folders that none of the last ``keep`` commits names and
         that were last written ``older_than`` seconds ago (a batch under way
-        has named nothing yet).  Returns what it deleted."""
+        has named nothing yet).  ``superseded``: those that an earlier commit
+        named instead, of any age, which no batch under way will name.  Returns
+        what it deleted."""
         last, _ = self.log.state() or (0, {})
         first = max(1, last - keep + 1)
         named: set[str] = set()
         for n in range(first, last + 1):
             _, state = self.log.state(n)
-            for p in (p for parts in state["parts"].values() for p in parts):
-                named |= {p["path"], p.get("filter", "")}
-            named |= {path.rpartition("/")[0] for cells in state["cells"].values() for path in cells.values()}
+            named |= folders_of(state["parts"], state["cells"])
+        earlier = set().union(*(folders_of(p, c) for p, c in self.log.brought(first))) if superseded else set()
         files, gone, limit = self.log.files, [], time.time() - older_than
         for table in (*APPENDED, *BUCKETED, *MONTHLY, "fact_keys"):
             for folder, modified in files.entries(f"{self.root}/{table}"):
-                if f"{table}/{folder}" not in named and modified <= limit:
-                    files.delete(f"{self.root}/{table}/{folder}")
-                    gone.append(f"{table}/{folder}")
+                name = f"{table}/{folder}"
+                if name not in named and (name in earlier if superseded else modified <= limit):
+                    files.delete(f"{self.root}/{name}")
+                    gone.append(name)
         self.log.forget(first)
         return gone
 

@@ -225,8 +225,10 @@ def records(lines: DataFrame, checks: DataFrame, width: int, required=REQUIRED_C
     hdr = checks
     if only_valid:
         hdr = hdr.filter(F.col("status") == "valid")
-    rows = with_fields(_below_header(lines, hdr.select("source_file", "_first", "columns", "date_format")), "value", width)
-    picked = [F.get(F.col("_f"), F.array_position("columns", c).cast("int") - 1).alias(c) for c in required]
+    # where a file has its columns is told once for the file
+    places = [(F.array_position("columns", c).cast("int") - 1).alias(f"_at_{c}") for c in required]
+    rows = with_fields(_below_header(lines, hdr.select("source_file", "_first", *places, "date_format")), "value", width)
+    picked = [F.get(F.col("_f"), F.col(f"_at_{c}")).alias(c) for c in required]
     return rows.select(*picked, "source_file",
                        F.struct(F.col("source_file").alias("file"), "_block", "_row").alias("_arrival"),
                        F.col("date_format").alias("_date_format"))

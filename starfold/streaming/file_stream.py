@@ -16,10 +16,15 @@ Each micro-batch is loaded exactly once: its epoch is part of the warehouse's
 commit, under the name of the stream (its checkpoint).  A stream that stops
 between the commit and its own checkpoint runs the epoch again, and the load is
 skipped.  Files that the ledger has as loaded, by a batch for instance, are left out.
+
+Disk holds one micro-batch's work: its staged rows, caches and shuffles go before
+the next begins, and on request the folders that a later commit has replaced.
 """
 
 from __future__ import annotations
 
+import gc
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +43,20 @@ def line_stream(spark: SparkSession, raw_glob: str, max_files_per_trigger: int |
 
 
 def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpoint: str,
-           max_files_per_trigger: int | None = None) -> list[int]:
-    """Drain all arrived files into ``wh``; returns the micro-batch ids run."""
+           max_files_per_trigger: int | None = None, keep_commits: int | None = None) -> list[int]:
+    """Drain all arrived files into ``wh``; returns the micro-batch ids run.
+    ``keep_commits``: how many of the last commits can be read after each
+    micro-batch; folders that only earlier ones name are deleted.  Default: all."""
     epochs: list[int] = []
 
     def load(batch: DataFrame, epoch_id: int) -> None:
+        load_batch(batch, epoch_id)
+        # what was cached has shuffles of its own, which the cleaner drops once a collection finds them unused
+        gc.collect()
+        spark._jvm.System.gc()
+        epochs.append(epoch_id)
+
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
         # row ids are fixed here, inside the batch, where a non-streaming plan allows them
         lines = text_lines(batch, root).select(*LINE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
         headers = _headers(lines).checkpoint(eager=True)  # these two have one row per file
@@ -53,7 +67,8 @@ def ingest(spark: SparkSession, root: str, raw_glob: str, wh: Warehouse, checkpo
         if report:
             report.release()
         lines.unpersist()
-        epochs.append(epoch_id)
+        if report and keep_commits:
+            wh.vacuum(keep_commits, superseded=True)
 
     q = (line_stream(spark, raw_glob, max_files_per_trigger).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -2,15 +2,20 @@
 
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from conftest import HEADER, write_csv
+from starfold.plans.commits import CommitLog
 from starfold.plans.context import Run
 from starfold.plans.rows_only import validate_ragged
+from starfold.plans.warehouse import Warehouse, folders_of, monthly_rollup
 from starfold.session import apply_runtime_conf, fresh_path
 from starfold.sources import csv_drop
 from starfold.sources.sales_drop import REQUIRED_COLUMNS
+from starfold.streaming import file_stream
+from test_durable import file_of, row
 
 
 def shuffle_files(spark):
@@ -74,3 +79,41 @@ def test_ragged_stores_its_text_alone(spark, tmp_path, monkeypatch):
     assert got == {**{f"raw/part=2024_{m:02d}": m == 7 for m in range(1, 13)}, "raw/empty": False}
     assert "drop" not in r._memo and kept(spark) == before and shuffle_files(spark) <= files
     assert list(REQUIRED_COLUMNS) == HEADER.split(",")
+
+
+def test_a_stream_keeps_the_folders_of_its_last_commits(spark, tmp_path):
+    """Folders that only earlier commits name go after each micro-batch; those that no commit names yet stay."""
+    apply_runtime_conf(spark)
+    drop, root = str(tmp_path / "drop"), str(tmp_path / "wh")
+    for i in range(3):
+        write_csv(drop, f"raw/f{i}.csv", file_of(*[row(f"O{i}{j}", f"2024-0{i + 1}-05", mail=f"e{j}@x.io") for j in range(20)], row("O00", mail="z@x.io")))
+    files, before = shuffle_files(spark), kept(spark)
+    os.makedirs(f"{root}/dim_customers/v=under-way-1")
+    wh = Warehouse.create(spark, root=root)
+    epochs = file_stream.ingest(spark, drop, f"{drop}/raw/*.csv", wh, checkpoint=str(tmp_path / "ckpt"), max_files_per_trigger=1, keep_commits=1)
+    for _ in range(50):
+        left = shuffle_files(spark) - files
+        if len(left) < 6:
+            break
+        time.sleep(0.2)
+    assert len(left) < 6 and kept(spark) <= before  # of a hundred
+    assert epochs == [0, 1, 2] and wh.commits == 3
+    folders = {f"{t}/{f}" for t in os.listdir(root) if t != "_log" for f in os.listdir(f"{root}/{t}")}
+    assert folders == {f for f in folders_of(wh.parts, wh.cells) if f} | {"dim_customers/v=under-way-1"}
+    again = Warehouse.open(spark, root)
+    assert sorted(r["order_id"] for r in again.table("fact_sales").collect()) == sorted(f"O{i}{j}" if j or i else "O00" for i in range(3) for j in range(20))
+    assert again.table("dim_customers").count() == 21
+    stored, full = again.table("mv_monthly_sales"), monthly_rollup(again.table("fact_sales"), again.table("dim_products"))
+    assert stored.exceptAll(full).count() == full.exceptAll(stored).count() == 0 < stored.count()
+
+
+def test_superseded_folders_are_found_over_many_commits(spark, tmp_path):
+    log, state = CommitLog(spark, str(tmp_path)), {"parts": {}, "cells": {}}
+    for n in range(1, 36):
+        after = {"parts": {"f": state["parts"].get("f", []) + [{"path": f"f/{n}", "filter": f"k/{n}"}]}, "cells": {"d": {"0": f"d/v{n}/_cell=0"}}}
+        assert log.put(n, state, after)
+        state = after
+    everything = {f for i in range(1, 35) for f in (f"f/{i}", f"k/{i}", f"d/v{i}")}
+    assert set().union(*(folders_of(*x) for x in log.brought(35))) == everything
+    log.forget(34)
+    assert set().union(*(folders_of(*x) for x in log.brought(35))) >= {"f/1", "d/v32", "d/v33", "d/v34"}
